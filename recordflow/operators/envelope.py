@@ -50,20 +50,20 @@ def parse_events(df: DataFrame, value: str = "value") -> DataFrame:
     return compute_once(df, doc=F.try_parse_json(F.col(value)))
 
 
-def route_events(df: DataFrame, value: str = "value") -> DataFrame:
+def route_events(df: DataFrame, value: str = "value", *, unwrap: bool = True) -> DataFrame:
     """Failsafe parse: every event comes out once, with ``payload`` or ``error_message``.
 
-    ``value`` keeps the original text, so nothing is lost on the failed route.
+    ``value`` keeps the original text, so nothing is lost on the failed route. Without
+    ``unwrap`` the whole object is the payload.
     """
     parsed = df if "doc" in df.columns else parse_events(df, value)
-    inner = payload(F.col("doc"))
+    doc = F.col("doc")
+    inner = payload(doc) if unwrap else doc
     error = (
-        F.when(F.col("doc").isNull(), F.concat(F.lit("invalid JSON: "), F.coalesce(value, F.lit(""))))
+        F.when(doc.isNull(), F.concat(F.lit("invalid JSON: "), F.coalesce(value, F.lit(""))))
         .when(~is_object(inner), F.lit(NOT_AN_OBJECT))
-        .alias("error_message")
     )
-    routed = compute_once(parsed, payload=inner, error_message=error)
-    return routed
+    return compute_once(parsed, payload=inner, error_message=error)
 
 
 def good(routed: DataFrame) -> DataFrame:

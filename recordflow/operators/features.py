@@ -29,8 +29,8 @@ def hash_features(
 ) -> DataFrame:
     """Add the hashed features of ``columns``; the order of the columns does not matter."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    buckets = F.array(*[bucket(value_text(name(c), types[c]), n) for c in columns])
-    return compute_once(df, _buckets=buckets).withColumn(out, bucket_counts(F.col("_buckets"), n)).drop("_buckets")
+    row, counts = bucket_counts([bucket(value_text(name(c), types[c]), n) for c in columns], n)
+    return compute_once(df, _buckets=row).withColumn(out, counts(F.col("_buckets"))).drop("_buckets")
 
 
 def zscore(value: Column, mean: float | Column, std: float | Column) -> Column:
@@ -87,12 +87,12 @@ def regression_features(report: DataFrame, id_name: str = "Id") -> DataFrame:
     return days_to_close(hash_features(records, fields)).select(name(id_name), "x", "y")
 
 
-def examples(features: DataFrame, label: str | None = "y") -> DataFrame:
-    """Training examples: ``x`` alone, or ``x`` and ``y``."""
+def examples(features: DataFrame, label: str | None = "y", keep: list[str] | None = None) -> DataFrame:
+    """Training examples: ``x`` alone, or ``x`` and ``y``, next to the columns to keep."""
     columns = [F.col("x").cast("array<float>").alias("x")]
     if label:
         columns.append(F.col(label).cast("float").alias("y"))
-    return features.select(*columns)
+    return features.select(*columns, *(keep or []))
 
 
 def with_split(df: DataFrame, key: str = "Id", train_percent: int = 90, out: str = "split") -> DataFrame:

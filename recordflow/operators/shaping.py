@@ -150,14 +150,16 @@ def writable_columns(df: DataFrame) -> DataFrame:
 
 
 def writable_json(doc: Column) -> Column:
-    """The members of a JSON object that may be written back, as JSON text without nulls."""
-    members = F.try_variant_get(doc, "$", "map<string,variant>")
+    """The members of a JSON object that may be written back, as JSON text.
+
+    Scalars are sent as text, and nulls are left out.
+    """
     kept = F.map_filter(
-        members,
+        F.try_variant_get(doc, "$", "map<string,string>"),
         lambda key, member: ~(
             key.contains(ID_MARK) | key.contains(CUSTOM_MARK) | key.isin(READ_ONLY_FIELDS)
         )
-        & ~F.is_variant_null(member),
+        & member.isNotNull(),
     )
     return F.to_json(kept)
 
