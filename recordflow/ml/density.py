@@ -76,13 +76,12 @@ class Grid:
                 near.append(o)
         return near
 
-    def near(self, offsets: list[tuple[int, ...]], prefix: str = "k") -> Column:
-        """All neighbour cells of ``c0..`` as an array, for ``inline``."""
-        return F.array(
-            *[
-                F.struct(*[(F.col(f"c{i}") + F.lit(o[i])).alias(f"{prefix}{i}") for i in self.axes])
-                for o in offsets
-            ]
+    def beside(self, df: DataFrame, offsets: list[tuple[int, ...]]) -> DataFrame:
+        """One row per neighbour cell ``k0..`` of the cell ``c0..``; the steps are a constant."""
+        steps = F.array(*[F.array(*[F.lit(v).cast("bigint") for v in o]) for o in offsets])
+        moved = df.select("*", F.explode(steps).alias("_step"))
+        return moved.select(
+            *df.columns, *[(F.col(f"c{i}") + F.get("_step", F.lit(i))).alias(f"k{i}") for i in self.axes]
         )
 
     def squared(self, parts: list[Column]) -> Column:
@@ -159,7 +158,7 @@ def core_sparse_points(points: DataFrame, cells: DataFrame, grid: Grid, min_pts:
     c, k = grid.names("c"), grid.names("k")
     few = cells.filter(F.col("n") < min_pts).select(*c)
     sparse = saved(lookup(points, few, c, "inner").select("id", *grid.names("x"), *c), "sparse")
-    probes = sparse.select("id", *grid.names("x"), F.inline(grid.near(grid.offsets())))
+    probes = grid.beside(sparse, grid.offsets()).drop(*c)
     targets = cells.select(
         *[F.col(a).alias(b) for a, b in zip(c, k)], "n", *_prefixed(cells, "t", grid.box_columns())
     )
@@ -269,9 +268,9 @@ def core_labels(points: DataFrame, grid: Grid, min_pts: int) -> tuple[DataFrame,
     ahead = [o for o in grid.offsets() if o > (0,) * grid.dims]
     k = grid.names("k")
     box = [*grid.box_columns(), "first"]
-    left = core_cells.select(
-        F.col("node").alias("a"), *_prefixed(core_cells, "a_", box), F.inline(grid.near(ahead))
-    )
+    left = grid.beside(
+        core_cells.select(F.col("node").alias("a"), *_prefixed(core_cells, "a_", box), *c), ahead
+    ).drop(*c)
     right = core_cells.select(
         *[F.col(x).alias(y) for x, y in zip(c, k)],
         F.col("node").alias("b"),

@@ -112,12 +112,19 @@ def _flag(column: str) -> str:
     return f"CASE WHEN {column} THEN 'True' ELSE 'False' END"
 
 
-def _hashed(texts: list[str], n: int = 64) -> str:
+def _buckets(texts: list[str], n: int = 64) -> str:
     values = ", ".join(f"coalesce({t}, 'nan')" for t in texts)
-    buckets = f"list_transform([{values}], lambda t: {_bucket('t', n)})"
-    return (
-        f"list_transform(range({n}), lambda i: len(list_filter({buckets}, lambda b: b = i)))"
-    )
+    return f"list_transform([{values}], lambda t: {_bucket('t', n)})"
+
+
+def _counts(n: int = 64) -> str:
+    """Counts per bucket of the list column ``b``."""
+    return f"list_transform(range({n}), lambda i: len(list_filter(b, lambda v: v = i)))"
+
+
+def _hashed(source: str, texts: list[str], n: int = 64) -> str:
+    """CTE ``hashed``: the rows of ``source`` with their buckets as ``b``."""
+    return f"hashed AS (SELECT *, {_buckets(texts, n)} AS b FROM {source})"
 
 
 def _clean(text: str) -> str:
@@ -130,8 +137,8 @@ _TEXTS = [
 ]
 _FLAGS = [_flag("IsClosed"), _flag("IsWon")]
 _Z = f"round((Amount::DOUBLE - {PUBLISHED_AMOUNT_MEAN!r}) / {PUBLISHED_AMOUNT_STD!r}, 9)"
-_HASHED = _hashed(_TEXTS + _FLAGS)
-_REGRESSION = _hashed(_TEXTS + _FLAGS + ["Amount::VARCHAR"])
+_HASHED = _hashed("opportunity", _TEXTS + _FLAGS)
+_REGRESSION = _hashed("dated", _TEXTS + _FLAGS + ["Amount::VARCHAR"])
 _SPLIT = "CASE WHEN ('0x' || right(md5({}), 6))::INT % 100 < 90 THEN 'train' ELSE 'test' END"
 
 # (event field, scoring field, accepted JSON types)
@@ -264,29 +271,40 @@ ORACLES = {
         list_sort({_KEPT}),
         lambda k: '"' || k || '":"' || json_extract_string(payload, '$.' || k) || '"'), ',') || '}}'
         AS record FROM routed WHERE error_message IS NULL""",
-    "hash_features": f"""WITH {OPPORTUNITY} SELECT Id AS "Id", array_to_string({_HASHED}, ',') AS x
-        FROM opportunity""",
+    "hash_features": f"""WITH {OPPORTUNITY}, {_HASHED} SELECT Id AS "Id", array_to_string({_counts()}, ',') AS x
+        FROM hashed""",
     "zscore": f"""WITH {OPPORTUNITY} SELECT Id AS "Id", {_Z} AS amount_z FROM opportunity""",
     "scale_params": """SELECT round(avg(o_totalprice), 3) AS mean, round(stddev_samp(o_totalprice), 3) AS std
         FROM orders""",
     "parse_dates": f"""WITH {OPPORTUNITY} SELECT o_orderkey AS "Id",
         strftime(created, '%Y-%m-%d %H:%M:%S') AS created, close_date::VARCHAR AS closed FROM dated""",
     "days_to_close": f"""WITH {OPPORTUNITY} SELECT o_orderkey AS "Id", days FROM dated""",
-    "regression_features": f"""WITH {OPPORTUNITY} SELECT o_orderkey AS "Id",
-        array_to_string({_REGRESSION}, ',') AS x, days AS y FROM dated""",
-    "anomaly_features": f"""WITH {OPPORTUNITY} SELECT o_orderkey AS "Id", array_to_string({
-        _hashed([_clean(t) for t in _TEXTS] + _FLAGS)}, ',') AS x, {_Z} AS amount_z FROM dated""",
-    "examples": f"""WITH {OPPORTUNITY} SELECT array_to_string({_REGRESSION}, ',') AS x, days AS y
-        FROM dated WHERE days IS NOT NULL AND {_SPLIT.format("o_orderkey::VARCHAR")} = 'train'""",
+    "regression_features": f"""WITH {OPPORTUNITY}, {_REGRESSION} SELECT o_orderkey AS "Id",
+        array_to_string({_counts()}, ',') AS x, days AS y FROM hashed""",
+    "anomaly_features": f"""WITH {OPPORTUNITY}, {
+        _hashed("dated", [_clean(t) for t in _TEXTS] + _FLAGS)} SELECT o_orderkey AS "Id",
+        array_to_string({_counts()}, ',') AS x, {_Z} AS amount_z FROM hashed""",
+    "examples": f"""WITH {OPPORTUNITY}, {_REGRESSION} SELECT array_to_string({_counts()}, ',') AS x, days AS y
+        FROM hashed WHERE days IS NOT NULL AND {_SPLIT.format("o_orderkey::VARCHAR")} = 'train'""",
     "split": f"""WITH {OPPORTUNITY} SELECT Id AS "Id", {_SPLIT.format("Id")} AS split FROM opportunity""",
     "result_rows": """SELECT o_orderkey::VARCHAR AS "opportunityId", o_orderkey % 6 - 1 AS "anomalyCluster"
         FROM orders WHERE o_orderkey % 11 <> 0""",
-    "prediction_text": f"""WITH {OPPORTUNITY} SELECT o_orderkey AS "Id", 'example is '
-        || ({_hashed(["AccountType", "Stage", _flag("IsWon")], 8)})::VARCHAR
-        || ' prediction is ' || days AS line FROM dated WHERE days IS NOT NULL""",
+    "prediction_text": f"""WITH {OPPORTUNITY}, {
+        _hashed("dated", ["AccountType", "Stage", _flag("IsWon")], 8)} SELECT o_orderkey AS "Id",
+        'example is ' || ({_counts(8)})::VARCHAR || ' prediction is ' || days AS line
+        FROM hashed WHERE days IS NOT NULL""",
     "head_sample": f"""WITH {OPPORTUNITY} SELECT o_orderkey AS "Id", 'Deal ' || o_orderkey AS opportunity_name,
         Amount AS "Amount" FROM dated ORDER BY Amount, o_orderkey LIMIT 2""",
-    "batch_infer": f"""WITH {OPPORTUNITY} SELECT Id AS "Id",
-        list_sum(list_transform({_HASHED}, lambda c, i: c * ((i - 1) % 7 - 3)))::DOUBLE + 0.5 AS score
-        FROM opportunity""",
+    "batch_infer": f"""WITH {OPPORTUNITY}, {_HASHED} SELECT Id AS "Id",
+        list_sum(list_transform({_counts()}, lambda c, i: c * ((i - 1) % 7 - 3)))::DOUBLE + 0.5 AS score
+        FROM hashed""",
+    "cluster_fit": """WITH RECURSIVE
+        p AS (SELECT c_custkey AS id, c_acctbal / 100.0::DOUBLE AS x, c_nationkey::DOUBLE * 2 AS y FROM customer),
+        near AS (SELECT a.id AS a, b.id AS b FROM p a JOIN p b
+          ON (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 2.25::DOUBLE),
+        core AS (SELECT a AS id FROM near GROUP BY a HAVING count(*) >= 4),
+        edges AS (SELECT a, b FROM near WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core)),
+        reach(id, seen) AS (SELECT id, id FROM core UNION
+          SELECT e.b, r.seen FROM reach r JOIN edges e ON e.a = r.id)
+        SELECT p.id, min(seen) AS cluster FROM p LEFT JOIN reach ON reach.id = p.id GROUP BY p.id""",
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recordflow import schemas
@@ -11,11 +12,13 @@ from recordflow.config import StreamIngestParams, TextExportParams
 from recordflow.functions.columns import name
 from recordflow.functions.dates import created_at, short_date
 from recordflow.functions.variants import is_object
+from recordflow.ml import anomaly, density, regression
 from recordflow.ml.inference import batch_predictor, linear_model
 from recordflow.operators import conform as C
 from recordflow.operators import envelope as E
 from recordflow.operators import features as FT
 from recordflow.operators import shaping as S
+from recordflow.operators.lookups import saved
 from recordflow.plans import jobs, views
 from recordflow.session import scratch_path
 from recordflow.sinks import files, tables
@@ -339,6 +342,56 @@ def batch_infer(spark, sf):
     return hashed.select("Id", predict(F.col("x").cast("array<double>")).alias("score"))
 
 
+def _customer_points(spark, sf):
+    """Customers in the plane of balance and nation."""
+    customer = views.table(spark, sf, "customer")
+    plane = F.array(F.col("c_acctbal") / 100.0, F.col("c_nationkey").cast("double") * 2.0)
+    return customer.select(F.col("c_custkey").alias("id"), plane.alias("coords"))
+
+
+def cluster_fit(spark, sf):
+    """Density clusters at one radius, named by their lowest core id."""
+    return density.dbscan_star(_customer_points(spark, sf), eps=1.5, min_pts=4, dims=2)
+
+
+def cluster_tree(spark, sf):
+    """Clusters chosen from a ladder of radii."""
+    return density.hierarchy(_customer_points(spark, sf), dims=2, eps=3.0, levels=2).labels
+
+
+def cluster_predict(spark, sf):
+    """Cluster of the nearest exemplar, for suppliers placed among the customers."""
+    tree = density.hierarchy(_customer_points(spark, sf), dims=2, eps=1.5, levels=1)
+    index = saved(density.exemplar_index(tree.exemplars, 2), "index")
+    suppliers = views.table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("id"),
+        F.array(F.col("s_acctbal") / 100.0, F.col("s_nationkey").cast("double") * 2.0).alias("coords"),
+    )
+    entries = tree.exemplars.count() * 9
+    return density.predict(suppliers, index, tree.levels, 2, entries=entries).select("id", "cluster")
+
+
+def encode_pca(spark, sf):
+    """Latent code of the embeddings."""
+    rows = views.table(spark, sf, "embeddings").select(
+        "vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features")
+    )
+    return anomaly.encode(anomaly.fit_encoder(rows), rows).select("vec_id", "coords")
+
+
+def score_anomalies(spark, sf):
+    """Fit on the training share of the opportunities, then label all of them."""
+    records = views.scoring_records(spark, sf)
+    model = anomaly.fit(records, dims=2, eps=0.4, levels=2)
+    return model.score(records)
+
+
+def regress_score(spark, sf):
+    """Fit days to close on the training share, then score all rows."""
+    features = saved(FT.regression_features(views.report(spark, sf)), "regression")
+    return regression.predict(regression.fit(features, rounds=5, depth=4), features).select("Id", "prediction")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -348,6 +401,7 @@ QUERIES = {
         scan_range, scan_window, sql_scan, drop_columns, strip_text, rename_columns, row_id,
         record_to_json, restricted_fields, hash_features, zscore, scale_params, parse_dates,
         days_to_close, regression_features, anomaly_features, examples, split, result_rows,
-        prediction_text, head_sample, batch_infer,
+        prediction_text, head_sample, batch_infer, cluster_fit, cluster_tree, cluster_predict,
+        encode_pca, score_anomalies, regress_score,
     )
 }
