@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from recordflow.operators.lookups import lookup, saved
+from recordflow.operators.lookups import lookup, saved, saved_rows
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -16,9 +16,9 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     with the logarithm of the graph. Minima are combined before the shuffle, and hot nodes only
     occur on the probing side of a salted lookup.
     """
-    edges = saved(edges.filter("a <> b").select("a", "b").distinct(), "edges")
+    edges, left = saved_rows(edges.filter("a <> b").select("a", "b").distinct(), "edges")
     hops = []
-    while not edges.isEmpty():
+    while left:
         ends = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         seed = F.lit(len(hops))
 
@@ -27,7 +27,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
         lowest = ends.groupBy("a").agg(F.min(ranked("b")).alias("best"))
         own = ranked("a")
-        hop = saved(
+        hop, size = saved_rows(
             lowest.select(
                 F.col("a").alias("node"),
                 F.when(F.col("best") < own, F.col("best.n")).otherwise(F.col("a")).alias("next"),
@@ -36,15 +36,16 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         )
         # One doubling step: the next of the next.
         further = hop.select(F.col("node").alias("next"), F.col("next").alias("after"))
-        hop = saved(lookup(hop, further, ["next"]).select("node", F.col("after").alias("next")), "hop")
-        hops.append(hop)
+        twice = lookup(hop, further, ["next"], entries=size)
+        hop = saved(twice.select("node", F.col("after").alias("next")), "hop")
+        hops.append((hop, size))
         for end in ("a", "b"):
             step = hop.select(F.col("node").alias(end), "next")
-            edges = lookup(edges, step, [end]).drop(end).withColumnRenamed("next", end)
-        edges = saved(edges.filter("a <> b").select("a", "b").distinct(), "edges")
+            edges = lookup(edges, step, [end], entries=size).drop(end).withColumnRenamed("next", end)
+        edges, left = saved_rows(edges.filter("a <> b").select("a", "b").distinct(), "edges")
 
     result = nodes.select("node", F.col("node").alias("root"))
-    for hop in hops:
+    for hop, size in hops:
         step = hop.select(F.col("node").alias("root"), "next")
-        result = lookup(result, step, ["root"]).select("node", F.coalesce("next", "root").alias("root"))
+        result = lookup(result, step, ["root"], entries=size).select("node", F.coalesce("next", "root").alias("root"))
     return saved(result, "components")

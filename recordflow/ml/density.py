@@ -27,7 +27,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recordflow.ml.components import connected_components
-from recordflow.operators.lookups import lookup, saved
+from recordflow.operators.lookups import lookup, saved, saved_rows
 from recordflow.operators.shaping import with_row_id
 
 NOISE = -1
@@ -176,7 +176,7 @@ def core_sparse_points(points: DataFrame, cells: DataFrame, grid: Grid, min_pts:
     open_probes = met.filter(~F.col("whole")).join(
         sure.filter(F.col("sure") < min_pts).select("id", "sure"), "id"
     )
-    asked = saved(
+    asked, n_asked = saved_rows(
         open_probes.select(
             F.col("id").alias("pid"),
             "sure",
@@ -186,7 +186,7 @@ def core_sparse_points(points: DataFrame, cells: DataFrame, grid: Grid, min_pts:
         "asked",
     )
     # At most (neighbour cells) * (min_pts - 1) probes ask one cell; the points may be many.
-    close = lookup(points.select("id", *c, *grid.names("x")), asked, c, "inner").filter(
+    close = lookup(points.select("id", *c, *grid.names("x")), asked, c, "inner", entries=n_asked).filter(
         grid.distance("x", "y") <= grid.limit
     )
     late = (
@@ -237,16 +237,18 @@ def _refine(members: DataFrame, pairs: DataFrame, grid: Grid) -> DataFrame:
         for end in ("a", "b"):
             side = sides[end] if depth > 1 else sides[end].drop(*[f"{end}_{u}" for u in up])
             joined = joined.join(side, keys[end])
-        compared = saved(_compare(joined, grid), "compared")
+        compared, n_pairs = saved_rows(_compare(joined, grid), "compared")
+        if not n_pairs:
+            break
         edges = saved(compared.filter("joined").select("a", "b").distinct(), "found")
         found = edges if found is None else found.union(edges)
         rest = compared.filter(~F.col("joined")).join(edges, ["a", "b"], "left_anti")
-        open_pairs = rest.select(
+        open_pairs, n_open = saved_rows(rest.select(
             "a", "b", *[F.col(f"{end}_{v}").alias(f"{end}_u{v[1:]}") for end in ("a", "b") for v in s]
-        )
-        if open_pairs.isEmpty():
+        ), "open")
+        if not n_open:
             break
-    return found
+    return pairs.select("a", "b").limit(0) if found is None else found
 
 
 def core_labels(points: DataFrame, grid: Grid, min_pts: int) -> tuple[DataFrame, DataFrame]:
@@ -263,7 +265,7 @@ def core_labels(points: DataFrame, grid: Grid, min_pts: int) -> tuple[DataFrame,
         .agg(F.count(F.lit(1)).alias("n"), *grid.box())
         .withColumn("dense", F.lit(False))
     )
-    core_cells = saved(dense.unionByName(thin), "core_cells")
+    core_cells, n_cells = saved_rows(dense.unionByName(thin), "core_cells")
 
     ahead = [o for o in grid.offsets() if o > (0,) * grid.dims]
     k = grid.names("k")
@@ -285,18 +287,21 @@ def core_labels(points: DataFrame, grid: Grid, min_pts: int) -> tuple[DataFrame,
     undecided = compared.filter(~F.col("joined"))
     for end in ("a", "b"):
         undecided = lookup(
-            undecided, roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), [end]
+            undecided,
+            roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")),
+            [end],
+            entries=n_cells,
         )
-    undecided = saved(undecided.filter("root_a <> root_b").select("a", "b", "root_a", "root_b"), "undecided")
-    if not undecided.isEmpty():
+    undecided, n_undecided = saved_rows(undecided.filter("root_a <> root_b").select("a", "b", "root_a", "root_b"), "undecided")
+    if n_undecided:
         owners = undecided.select(F.col("a").alias("node")).union(undecided.select(F.col("b").alias("node")))
         asked = core_cells.join(owners.distinct(), "node", "left_semi").select(
             *c, "dense", F.col("node").alias("owner")
         )
-        asked = saved(asked, "asked_cells")
+        asked, n_asked = saved_rows(asked, "asked_cells")
         x = ["id", *grid.names("x")]
-        crowd = lookup(points, asked.filter("dense"), c, "inner").select(*x, "owner")
-        few = lookup(core_points, asked.filter(~F.col("dense")), c, "inner").select(*x, "owner")
+        crowd = lookup(points, asked.filter("dense"), c, "inner", entries=n_asked).select(*x, "owner")
+        few = lookup(core_points, asked.filter(~F.col("dense")), c, "inner", entries=n_asked).select(*x, "owner")
         members = saved(crowd.unionByName(few), "members")
         more = _refine(members, undecided, grid)
         links = (
@@ -305,13 +310,12 @@ def core_labels(points: DataFrame, grid: Grid, min_pts: int) -> tuple[DataFrame,
             .distinct()
         )
         merged = connected_components(roots.select(F.col("root").alias("node")).distinct(), links)
-        roots = lookup(
-            roots, merged.select(F.col("node").alias("root"), F.col("root").alias("top")), ["root"]
-        ).select("node", F.col("top").alias("root"))
+        tops = merged.select(F.col("node").alias("root"), F.col("root").alias("top"))
+        roots = lookup(roots, tops, ["root"], entries=n_cells).select("node", F.col("top").alias("root"))
     # Name each cluster by its lowest core id.
-    lowest = lookup(core_cells.select("node", *c, "n", "dense", *box), roots, ["node"])
+    lowest = lookup(core_cells.select("node", *c, "n", "dense", *box), roots, ["node"], entries=n_cells)
     names = lowest.groupBy("root").agg(F.min("node").alias("cluster"))
-    labelled = lookup(lowest, names, ["root"]).drop("root")
+    labelled = lookup(lowest, names, ["root"], entries=n_cells).drop("root")
     return saved(labelled, "labelled_cells"), core_points
 
 

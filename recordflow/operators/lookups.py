@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
+
+from recordflow.session import scratch_path
 
 BROADCAST_ROWS = 200_000
 SALTS = 16
 
 
-def saved(df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts the lineage and gives exact sizes."""
-    from recordflow.session import scratch_path
+def saved_rows(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """Write to the shared folder and read back, with the number of rows counted on the way.
 
+    This cuts the lineage with data every executor can read again.
+    """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]
+
+
+def saved(df: DataFrame, label: str) -> DataFrame:
+    return saved_rows(df, label)[0]
 
 
 def lookup(
