@@ -376,7 +376,7 @@ def hierarchy(
     *,
     dims: int,
     eps: float | None = None,
-    levels: int = 4,
+    levels: int = 6,
     min_pts: int = 5,
     min_cluster_size: int = 5,
     id_name: str = "id",

@@ -42,5 +42,6 @@ def lookup(
     if (table.count() if entries is None else entries) <= broadcast_rows:
         return rows.join(F.broadcast(table), keys, how)
     spread = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)))
-    repeated = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("bigint"))
+    salts = F.array(*[F.lit(i).cast("bigint") for i in range(SALTS)])
+    repeated = table.withColumn("_salt", F.explode(salts))
     return spread.join(repeated, [*keys, "_salt"], how).drop("_salt")
