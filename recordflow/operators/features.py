@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from recordflow.functions.columns import compute_once, name
 from recordflow.functions.dates import created_at, days_between, short_date
-from recordflow.functions.hashing import N_BUCKETS, bucket, bucket_counts, value_text
+from recordflow.functions.hashing import N_BUCKETS, bucket_counts, buckets, value_text
 from recordflow.operators.shaping import compact_names, drop_columns, strip_text, with_row_id
 
 # Mean and standard deviation of the published scoring model.
@@ -29,8 +29,11 @@ def hash_features(
 ) -> DataFrame:
     """Add the hashed features of ``columns``; the order of the columns does not matter."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    row, counts = bucket_counts([bucket(value_text(name(c), types[c]), n) for c in columns], n)
-    return compute_once(df, _buckets=row).withColumn(out, counts(F.col("_buckets"))).drop("_buckets")
+    hashed = buckets([value_text(name(c), types[c]) for c in columns], n)
+    counted = compute_once(
+        compute_once(df, _buckets=hashed), **{out: bucket_counts(F.col("_buckets"), n)}
+    )
+    return counted.drop("_buckets")
 
 
 def zscore(value: Column, mean: float | Column, std: float | Column) -> Column:

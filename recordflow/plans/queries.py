@@ -28,7 +28,8 @@ LINEAR_WEIGHTS = [float(i % 7 - 3) for i in range(64)]
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
-    return views.messages(spark, views.table(spark, sf, "events"))
+    events = views.table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
+    return views.messages(spark, B.spread(events))
 
 
 def _joined(array: str, out: str):

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from recordflow.sources.batch import spread
+
 # One change event per row of ``events``, with faults planted by the event id.
 MESSAGES = """
 SELECT
@@ -124,6 +126,7 @@ def messages(spark: SparkSession, events: DataFrame) -> DataFrame:
 
 def opportunity(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = {t: table(spark, sf_dir, t) for t in ("orders", "customer", "nation")}
+    frames["orders"] = spread(frames["orders"])
     return spark.sql(OPPORTUNITY, **frames)
 
 

@@ -32,6 +32,16 @@ def read_objects(
     return reader.load(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan out to all cores when it has fewer splits than cores.
+
+    One file with one row group is one task, however much work follows. A scan of enough splits
+    is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def as_payload(df: DataFrame) -> DataFrame:
     """Typed rows as one schemaless ``payload`` column; NULL members count as absent."""
     if df.columns == ["payload"]:
