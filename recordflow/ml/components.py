@@ -14,7 +14,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     edges are then redrawn between the nodes pointed at. With fresh hashes every round the chains
     are short and the number of nodes with edges shrinks by a constant factor, so the rounds grow
     with the logarithm of the graph. Minima are combined before the shuffle, and hot nodes only
-    occur on the probing side of a salted lookup.
+    occur on the probing side of a split lookup.
     """
     edges, left = saved_rows(edges.filter("a <> b").select("a", "b").distinct(), "edges")
     hops = []

@@ -12,7 +12,7 @@ al. 2013). The result is exact, and no step lists the pairs of a crowded neighbo
   again, down to single positions, as long as their clusters are not connected anyway.
 * Clusters are the connected components of the cells.
 
-Cells are counted with partial aggregation, and points meet cell tables in salted lookups, so a
+Cells are counted with partial aggregation, and points meet cell tables in split lookups, so a
 cell that holds a third of all rows does not end up in one task.
 """
 
