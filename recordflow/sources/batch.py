@@ -33,13 +33,13 @@ def read_objects(
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan out to all cores when it has fewer splits than cores.
+    """Deal the rows of a scan out to all cores when most cores would get no split of it.
 
     One file with one row group is one task, however much work follows. A scan of enough splits
     is returned as it is, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 4 <= cores else df
 
 
 def as_payload(df: DataFrame) -> DataFrame:
