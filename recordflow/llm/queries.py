@@ -5,8 +5,10 @@ Each takes (spark, folder of tables), applies one operator to its whole table an
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from recordflow.llm import merge_replay
 from recordflow.llm.content_sort import mark_copies
 from recordflow.llm.splitters import assign_shards
 
@@ -15,6 +17,17 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+def op4_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = merge_replay.encode(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return merge_replay.decode(encoded, path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op6_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_copies(read(spark, sf_dir, "documents"), keep="largest")
 
@@ -23,7 +36,7 @@ def op10_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(read(spark, sf_dir, "documents"), shards=40)
 
 
-LLM_QUERIES = {f.__name__: f for f in (op6_content_sort, op10_sampled_splitters)}
+LLM_QUERIES = {f.__name__: f for f in (op4_merge_replay, op6_content_sort, op10_sampled_splitters)}
 
 LLM_ORACLES = {
     "op6_content_sort": """
