@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recordflow.llm import merge_replay
 from recordflow.llm.content_sort import mark_copies
+from recordflow.llm.digest_cache import count_tokens
 from recordflow.llm.splitters import assign_shards
+from recordflow.session import scratch_path
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -32,11 +34,17 @@ def op6_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_copies(read(spark, sf_dir, "documents"), keep="largest")
 
 
+def op7_digest_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A new cache each time, so that every distinct text is encoded."""
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return count_tokens(read(spark, sf_dir, "documents"), tokenizer, scratch_path(spark, "token_counts"))
+
+
 def op10_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(read(spark, sf_dir, "documents"), shards=40)
 
 
-LLM_QUERIES = {f.__name__: f for f in (op4_merge_replay, op6_content_sort, op10_sampled_splitters)}
+LLM_QUERIES = {f.__name__: f for f in (op4_merge_replay, op6_content_sort, op7_digest_cache, op10_sampled_splitters)}
 
 LLM_ORACLES = {
     "op6_content_sort": """
