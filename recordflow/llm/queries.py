@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from recordflow.llm import merge_replay
 from recordflow.llm.content_sort import mark_copies
 from recordflow.llm.digest_cache import count_tokens
+from recordflow.llm.multi_index import mark_near_copies
 from recordflow.llm.splitters import assign_shards
 from recordflow.session import scratch_path
 
@@ -30,6 +31,10 @@ def op4_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mark_near_copies(read(spark, sf_dir, "documents"), width=2, percent=80)
+
+
 def op6_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_copies(read(spark, sf_dir, "documents"), keep="largest")
 
@@ -44,9 +49,35 @@ def op10_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(read(spark, sf_dir, "documents"), shards=40)
 
 
-LLM_QUERIES = {f.__name__: f for f in (op4_merge_replay, op6_content_sort, op7_digest_cache, op10_sampled_splitters)}
+LLM_QUERIES = {f.__name__: f for f in (op4_merge_replay, op5_multi_index, op6_content_sort, op7_digest_cache, op10_sampled_splitters)}
 
 LLM_ORACLES = {
+    "op5_multi_index": """
+        WITH RECURSIVE lowered AS (
+            SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+            FROM documents
+        ), words AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM lowered
+        ), sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+                WHEN len(w) = 1 THEN w
+                ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
+            FROM words
+        ), shingles AS (
+            SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets
+        ), pairs AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id <> b.doc_id
+                AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+            GROUP BY ALL HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))
+        ), reached AS (
+            SELECT doc_id, doc_id AS other FROM sets
+            UNION
+            SELECT r.doc_id, p.b FROM reached r JOIN pairs p ON p.a = r.other
+        ), lowest AS (
+            SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
+        )
+        SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN lowest USING (doc_id)
+    """,
     "op6_content_sort": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
