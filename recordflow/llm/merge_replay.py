@@ -22,10 +22,10 @@ import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
 #: Characters of text in a block, and characters of cached words a worker holds between blocks.
-BLOCK_CHARS = 24_000_000
-CACHE_CHARS = 8_000_000
+BLOCK_CHARS = 8_000_000
+CACHE_CHARS = 5_000_000
 #: Tokens in an output batch, at which it is handed on; one document may be longer.
-BATCH_TOKENS = 2_000_000
+BATCH_TOKENS = 500_000
 #: The pattern's matches never reach over a space that a letter, digit or underscore follows.
 WORD_START = re.compile(r" (?=\w)")
 HEAD = "\0"
