@@ -13,6 +13,7 @@ from recordflow.llm.content_sort import mark_copies
 from recordflow.llm.digest_cache import count_tokens
 from recordflow.llm.multi_index import mark_near_copies
 from recordflow.llm.splitters import assign_shards
+from recordflow.llm.toxicity import mark_toxic
 from recordflow.session import scratch_path
 
 
@@ -45,11 +46,15 @@ def op7_digest_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"), tokenizer, scratch_path(spark, "token_counts"))
 
 
+def op8_levenshtein_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mark_toxic(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op10_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(read(spark, sf_dir, "documents"), shards=40)
 
 
-LLM_QUERIES = {f.__name__: f for f in (op4_merge_replay, op5_multi_index, op6_content_sort, op7_digest_cache, op10_sampled_splitters)}
+LLM_QUERIES = {f.__name__: f for f in (op4_merge_replay, op5_multi_index, op6_content_sort, op7_digest_cache, op8_levenshtein_lexicon, op10_sampled_splitters)}
 
 LLM_ORACLES = {
     "op5_multi_index": """
