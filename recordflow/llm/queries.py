@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recordflow.llm import merge_replay
+from recordflow.llm import merge_replay, semi_markov
 from recordflow.llm.content_sort import mark_copies
 from recordflow.llm.digest_cache import count_tokens
 from recordflow.llm.multi_index import mark_near_copies
@@ -21,6 +21,30 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+def op1_semi_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and the digest are of the base spans; ``spans`` has the added ones as well."""
+    found = semi_markov.find(read(spark, sf_dir, "documents"))
+    kinds = F.array(*map(F.lit, semi_markov.KINDS))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    both = F.transform(
+        F.concat("base", "added"),
+        lambda s: F.struct(F.array_position(kinds, s["kind"]).alias("place"), s["start"], s["end"], s["kind"]),
+    )
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(count, semi_markov.KINDS),
+        F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+        joined(F.array_sort(both)).alias("spans"),
+        F.size("added").cast("long").alias("n_added"),
+    )
+
+
 def op4_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = merge_replay.encode(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -54,7 +78,7 @@ def op10_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(read(spark, sf_dir, "documents"), shards=40)
 
 
-LLM_QUERIES = {f.__name__: f for f in (op4_merge_replay, op5_multi_index, op6_content_sort, op7_digest_cache, op8_levenshtein_lexicon, op10_sampled_splitters)}
+LLM_QUERIES = {f.__name__: f for f in (op1_semi_markov, op4_merge_replay, op5_multi_index, op6_content_sort, op7_digest_cache, op8_levenshtein_lexicon, op10_sampled_splitters)}
 
 LLM_ORACLES = {
     "op5_multi_index": """
