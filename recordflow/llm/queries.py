@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recordflow.llm import merge_replay, semi_markov
+from recordflow.llm import merge_replay, raking, semi_markov
 from recordflow.llm.content_sort import mark_copies
 from recordflow.llm.digest_cache import count_tokens
 from recordflow.llm.multi_index import mark_near_copies
@@ -74,13 +74,19 @@ def op8_levenshtein_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_toxic(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op9_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = raking.by_form(read(spark, sf_dir, "documents"))
+    return mixed.select("doc.doc_id", *raking.POWERS, "n_tokens", "weight", "probability", "kept")
+
+
 def op10_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(read(spark, sf_dir, "documents"), shards=40)
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_semi_markov, op4_merge_replay, op5_multi_index, op6_content_sort, op7_digest_cache, op8_levenshtein_lexicon, op10_sampled_splitters)}
+LLM_QUERIES = {f.__name__: f for f in (op1_semi_markov, op4_merge_replay, op5_multi_index, op6_content_sort, op7_digest_cache, op8_levenshtein_lexicon, op9_raking, op10_sampled_splitters)}
 
 LLM_ORACLES = {
+    "op9_raking": raking.oracle(),
     "op5_multi_index": """
         WITH RECURSIVE lowered AS (
             SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
