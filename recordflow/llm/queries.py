@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recordflow.llm import merge_replay, raking, semi_markov
+from recordflow.llm import kd_trees, merge_replay, raking, semi_markov, training_order
 from recordflow.llm.content_sort import mark_copies
 from recordflow.llm.digest_cache import count_tokens
 from recordflow.llm.multi_index import mark_near_copies
@@ -45,6 +45,21 @@ def op1_semi_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_kd_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_trees.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op3_feistel_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shards are written and read again; one row per sequence, with a digest of its tokens."""
+    layout = {"length": 1024, "per_shard": 8192}
+    path = scratch_path(spark, "training_order")
+    tokenizer = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = read(spark, sf_dir, "documents")
+    training_order.write(docs, path, tokenizer, public_tokenizers.PATTERN, stop=50256, key="epoch 0", **layout)
+    rows = training_order.read(spark, path, **layout)
+    return rows.select(*rows.columns[:-1], F.sha2("tokens", 256).alias("tokens_sha256"))
+
+
 def op4_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = merge_replay.encode(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -83,9 +98,22 @@ def op10_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(read(spark, sf_dir, "documents"), shards=40)
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_semi_markov, op4_merge_replay, op5_multi_index, op6_content_sort, op7_digest_cache, op8_levenshtein_lexicon, op9_raking, op10_sampled_splitters)}
+LLM_QUERIES = {f.__name__: f for f in (op1_semi_markov, op2_kd_trees, op3_feistel_order, op4_merge_replay, op5_multi_index, op6_content_sort, op7_digest_cache, op8_levenshtein_lexicon, op9_raking, op10_sampled_splitters)}
 
 LLM_ORACLES = {
+    "op2_kd_trees": """
+        WITH whole AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+            FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
     "op9_raking": raking.oracle(),
     "op5_multi_index": """
         WITH RECURSIVE lowered AS (
