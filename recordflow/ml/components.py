@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from recordflow.operators.lookups import lookup, saved, saved_rows
+from recordflow.operators.lookups import BROADCAST_ROWS, lookup, saved, saved_rows
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -48,4 +48,6 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     for hop, size in hops:
         step = hop.select(F.col("node").alias("root"), "next")
         result = lookup(result, step, ["root"], entries=size).select("node", F.coalesce("next", "root").alias("root"))
+        if size > BROADCAST_ROWS:  # a split lookup names its input three times
+            result = saved(result, "roots")
     return saved(result, "components")

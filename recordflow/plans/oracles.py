@@ -227,6 +227,27 @@ ORACLES = {
         (payload->>'$.Amount')::BIGINT AS amount, payload->>'$.Type' AS type
         FROM checked JOIN docs USING (event_id) WHERE c1 IS NULL AND c2 IS NULL
         AND coalesce(doc->>'$.event.type', 'created') IN ('created', 'updated', 'deleted')""",
+    "stream_two_feeds": f"""WITH {MESSAGES},
+        kept AS (SELECT * FROM routed
+          WHERE coalesce(doc->>'$.event.type', 'created') IN ('created', 'updated', 'deleted'))
+        SELECT payload->>'$.Id' AS id, NULL::VARCHAR AS error_message FROM checked JOIN docs USING (event_id)
+        WHERE c1 IS NULL AND c2 IS NULL
+        AND coalesce(doc->>'$.event.type', 'created') IN ('created', 'updated', 'deleted')
+        UNION ALL SELECT NULL, error_message FROM kept WHERE error_message IS NOT NULL
+        UNION ALL SELECT NULL, {_CHECK} FROM checked JOIN kept USING (event_id)
+        WHERE c1 IS NOT NULL OR c2 IS NOT NULL""",
+    "conform_types": """WITH checked AS (
+          SELECT *, concat_ws('; ',
+            CASE WHEN o_orderkey % 7 = 0 THEN 'd: not DATE' END,
+            CASE WHEN round(o_totalprice, 2) >= 100000 THEN 'e: not DECIMAL' END,
+            CASE WHEN o_orderkey * 1000003 > 2147483647 THEN 'n: not INTEGER' END,
+            CASE WHEN o_custkey * 10 > 32767 THEN 'tags[1]: not INTEGER' END) AS violations FROM orders)
+        SELECT o_orderkey, violations,
+          CASE WHEN violations = '' THEN (o_orderkey * 1000003)::INTEGER END AS n,
+          CASE WHEN violations = '' THEN strftime(o_orderdate, '%Y-%m-%d') END AS d,
+          CASE WHEN violations = '' THEN round(o_totalprice * 100)::BIGINT END AS cents,
+          CASE WHEN violations = '' THEN (o_orderkey % 200) || ',' || (o_custkey * 10) END AS tags
+        FROM checked""",
     "stream_dead_letters": f"""WITH {MESSAGES},
         kept AS (SELECT * FROM routed
           WHERE coalesce(doc->>'$.event.type', 'created') IN ('created', 'updated', 'deleted'))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from recordflow import schemas
 from recordflow.config import StreamIngestParams, TextExportParams
@@ -160,6 +160,30 @@ def batch_append(spark, sf):
     )
 
 
+def conform_types(spark, sf):
+    """Numbers out of their field's width, dates that do not exist, misfits inside arrays."""
+    orders = views.table(spark, sf, "orders")
+    day = F.when(F.col("o_orderkey") % 7 == 0, "1995-02-30").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    payload = F.to_variant_object(
+        F.struct(
+            (F.col("o_orderkey") * 1_000_003).alias("n"),
+            day.alias("d"),
+            F.col("o_totalprice").cast("decimal(12,2)").alias("e"),
+            F.array(F.col("o_orderkey") % 200, F.col("o_custkey") * 10).alias("tags"),
+        )
+    )
+    schema = T._parse_datatype_string("n int, d date, e decimal(7,2), tags array<smallint>")
+    checked = C.conform(orders.select("o_orderkey", payload.alias("payload")), schema)
+    return checked.select(
+        "o_orderkey",
+        F.array_join("violations", "; ").alias("violations"),
+        F.when(F.size("violations") == 0, F.col("row.n")).alias("n"),
+        F.when(F.size("violations") == 0, F.col("row.d").cast("string")).alias("d"),
+        F.when(F.size("violations") == 0, (F.col("row.e") * 100).cast("long")).alias("cents"),
+        F.when(F.size("violations") == 0, F.array_join(F.col("row.tags").cast("array<string>"), ",")).alias("tags"),
+    )
+
+
 def _new_table(spark, label, schema, streaming=False):
     path = scratch_path(spark, label)
     table = "rf_" + path.rsplit("-", 1)[1]
@@ -192,6 +216,34 @@ def stream_ingest(spark, sf):
     )
 
 
+def stream_two_feeds(spark, sf):
+    """Two feeds into one table and one dead letter, and then a batch of the first once more."""
+    main = _new_table(spark, "stream", schemas.STREAM_TARGET, streaming=True)
+    dead = _new_table(spark, "dead", schemas.DEAD_LETTER, streaming=True)
+
+    def half(events, n):
+        return events.filter(F.pmod(F.xxhash64("value"), F.lit(2)) == n)
+
+    for n in (1, 0):
+        params = StreamIngestParams(
+            object_name="Opportunity", reference_name=f"feed{n}_{main}", login_url="none",
+            push_topic="opportunities", output_table=main, dead_letter_table=dead,
+            checkpoint_location=scratch_path(spark, f"feed{n}"),
+        )
+        jobs.ingest_stream(spark, params, changes=half(_event_stream(spark, sf), n), drain=True).awaitTermination()
+    feed = tables.feed_name(params.reference_name, params.checkpoint_location)
+    again = half(views.messages(spark, views.table(spark, sf, "events")), 0)
+    schema = tables.record_schema(spark, main)
+    jobs.write_ingest_batch(again, 0, params, schema, datetime.now(timezone.utc), feed)
+    spark.catalog.refreshTable(main)
+    spark.catalog.refreshTable(dead)
+    return (
+        spark.table(main)
+        .select(F.col("Id").alias("id"), F.lit(None).cast("string").alias("error_message"))
+        .union(spark.table(dead).select(F.lit(None), "errorMessage"))
+    )
+
+
 def stream_dead_letters(spark, sf):
     _, dead = _drained(spark, sf)
     return spark.table(dead).select(
@@ -397,7 +449,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         route_messages, replay_offset, start_offset, change_kind, extract_payload, dead_letter_rows,
-        conform_ignore, conform_reject, union_errors, batch_append, stream_ingest,
+        conform_ignore, conform_reject, conform_types, union_errors, batch_append, stream_ingest, stream_two_feeds,
         stream_dead_letters, stream_text, typed_projection_lenient, typed_projection_strict,
         scan_range, scan_window, sql_scan, drop_columns, strip_text, rename_columns, row_id,
         record_to_json, restricted_fields, hash_features, zscore, scale_params, parse_dates,
