@@ -22,7 +22,7 @@ def main(argv: list[str]) -> None:
         raise SystemExit(f"usage: python -m recordflow {{{','.join(JOBS)}}} --name=value ...")
     params_type, job = JOBS[argv[0]]
     params = params_type.from_args(argv[1:])
-    spark = SparkSession.builder.appName(params.reference_name).getOrCreate()
+    spark = SparkSession.builder.appName(params.reference_name).config("spark.sql.session.timeZone", "UTC").getOrCreate()
     query = job(spark, params)
     if query is not None:
         query.awaitTermination()

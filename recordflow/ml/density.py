@@ -51,7 +51,12 @@ class Grid:
     @property
     def side(self) -> float:
         # Slightly short, so that rounding never puts two points of a cell further apart than eps.
-        return self.eps / math.sqrt(self.dims) * (1 - 1e-9)
+        return self.eps / math.sqrt(self.dims) * (1 - 1e-6)
+
+    @property
+    def reach(self) -> float:
+        """Distance from the origin up to which cell numbers are exact enough for that."""
+        return self.side * 2.0**31
 
     @property
     def axes(self) -> range:
@@ -61,9 +66,14 @@ class Grid:
         return [f"{prefix}{i}" for i in self.axes]
 
     def cell(self, depth: int = 0, prefix: str = "c") -> list[Column]:
-        """Cell numbers of the position ``x0..``; each depth halves the sides."""
-        width = self.side / 2.0**depth
-        return [F.floor(F.col(f"x{i}") / F.lit(width)).cast("bigint").alias(f"{prefix}{i}") for i in self.axes]
+        """Cell numbers of the position ``x0..``; each depth halves the sides.
+
+        The parts of a cell are numbered from its own corner, so depth takes nothing from the range.
+        """
+        at = [F.col(f"x{i}") / F.lit(self.side) for i in self.axes]
+        if depth:
+            at = [(a - F.floor(a)) * F.lit(2.0**depth) for a in at]
+        return [F.floor(a).cast("bigint").alias(f"{prefix}{i}") for i, a in zip(self.axes, at)]
 
     def offsets(self) -> list[tuple[int, ...]]:
         """Cells that can hold a point within ``eps``, the own cell included."""
@@ -135,18 +145,23 @@ class Grid:
 def positions(
     points: DataFrame, grid: Grid, id_name: str = "id", coords: str = "coords"
 ) -> tuple[DataFrame, DataFrame]:
-    """(id, x0.., c0..) of all points with usable coordinates, and the other points."""
+    """(id, x0.., c0..) of all points with usable coordinates, and the other points.
+
+    NULL and non-finite coordinates are not usable. A finite point too far out for exact cells, 2^31
+    radii or so, fails the job; move the origin or scale the coordinates then.
+    """
     flat = points.select(
         F.col(id_name).alias("id"),
         *[F.get(F.col(coords), F.lit(i)).cast("double").alias(f"x{i}") for i in grid.axes],
     )
-    # Cell numbers must leave room for the deepest split of a cell.
-    bound = F.lit(grid.side * 2.0 ** (62 - MAX_DEPTH))
     finite = reduce(
         lambda a, b: a & b,
-        [F.coalesce(F.abs(F.col(x)) < bound, F.lit(False)) for x in grid.names("x")],
+        [F.coalesce(F.abs(F.col(x)) < F.lit(float("inf")), F.lit(False)) for x in grid.names("x")],
     )
-    return saved(flat.filter(finite).select("*", *grid.cell()), "points"), flat.filter(~finite)
+    far = F.raise_error(F.lit("a point lies too far from the origin for this eps")).cast("double")
+    checked = [F.when(F.abs(F.col(x)) < F.lit(grid.reach), F.col(x)).otherwise(far).alias(x) for x in grid.names("x")]
+    placed = flat.filter(finite).select("id", *checked).select("*", *grid.cell())
+    return saved(placed, "points"), flat.filter(~finite)
 
 
 def _prefixed(df: DataFrame, prefix: str, columns: list[str]) -> list[Column]:

@@ -27,6 +27,16 @@ def local_session(cores: int | str = "*", **extra: str) -> SparkSession:
     return spark
 
 
+UTC_NAMES = {"UTC", "Etc/UTC", "Etc/UCT", "UCT", "Etc/GMT", "GMT", "GMT0", "Zulu", "Universal", "Z", "+00:00"}
+
+
+def require_utc(spark: SparkSession) -> None:
+    """Stop a job whose times would be read in another zone."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in UTC_NAMES:
+        raise ValueError(f"set spark.sql.session.timeZone to UTC for this job; it is {zone}")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a local one is set only where the cluster names none."""
     context = spark.sparkContext

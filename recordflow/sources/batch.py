@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -77,10 +78,20 @@ def range_bounds(
 def in_range(
     df: DataFrame, bounds: tuple[datetime | None, datetime | None], column: str = MODIFIED
 ) -> DataFrame:
-    """Rows whose ``column`` lies in the range."""
+    """Rows whose ``column`` lies in the range.
+
+    In JSON and CSV extracts a record without a readable time fails the job; a typed column that is
+    NULL is outside of every range.
+    """
+    if bounds == (None, None):
+        return df
     is_payload = column not in df.columns
     kind = "timestamp" if is_payload else dict(df.dtypes)[column]
     ts = F.try_variant_get("payload", f"$.{column}", "timestamp") if is_payload else name(column)
+    if is_payload or kind == "string":
+        # A time that cannot be read is not outside of the range: it fails the job.
+        kind, read = "timestamp", ts if is_payload else F.try_to_timestamp(ts)
+        ts = F.coalesce(read, F.raise_error(F.lit(f"{column} is missing or not a time")).cast("timestamp"))
 
     def bound(moment: datetime):
         if kind == "timestamp_ntz":
@@ -95,10 +106,29 @@ def in_range(
     return df
 
 
+def as_columns(df: DataFrame) -> DataFrame:
+    """The fields of a ``payload`` column as columns, typed by one pass over all records.
+
+    A field that is an object in some records and not in others stays a VARIANT; one that is null
+    everywhere is text.
+    """
+    if df.columns != ["payload"]:
+        return df
+    found = df.agg(F.schema_of_variant_agg("payload")).first()[0] or "OBJECT<>"
+    if not found.startswith("OBJECT<"):
+        raise ValueError("records of an object have to be JSON objects")
+    # Names are quoted in the text wherever they need it.
+    ddl = re.sub(r"\bOBJECT<", "STRUCT<", re.sub(r"\bVOID\b", "STRING", found))
+    return df.select(F.try_variant_get("payload", "$", ddl).alias("record")).select("record.*")
+
+
 def query_objects(df: DataFrame, object_name: str, query: str) -> DataFrame:
-    """The user's SQL over the object, which is visible under its own name."""
-    df.createOrReplaceTempView(object_name)
-    return df.sparkSession.sql(query)
+    """The user's SQL over the object, which is visible under its own name, in this query only."""
+    quoted = object_name.replace("`", "``")
+    text = query.strip().rstrip(";").replace("{", "{{").replace("}", "}}")
+    return df.sparkSession.sql(
+        f"WITH `{quoted}` AS (SELECT * FROM {{_object}}) SELECT * FROM ({text})", _object=as_columns(df)
+    )
 
 
 def read_report(spark: SparkSession, path: str, schema: T.StructType = REPORT) -> DataFrame:

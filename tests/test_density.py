@@ -143,3 +143,17 @@ def test_no_cartesian_plan(spark):
         entries=10**9,
     )._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("offset", [0.0, 1e7, -3e8])
+def test_points_far_from_the_origin(spark, offset):
+    rows = [(i, [offset + i / 100]) for i in range(10)] + [(10, [offset + 40.0])]
+    df = spark.createDataFrame(rows, "id long, coords array<double>")
+    found = {r[0]: r[1] for r in D.dbscan_star(df, dims=1, eps=1.0, min_pts=4).select("id", "cluster").collect()}
+    assert len({found[i] for i in range(10)}) == 1 and found[0] not in (None, D.NOISE) and found[10] in (None, D.NOISE)
+
+
+def test_points_too_far_are_not_noise(spark):
+    df = spark.createDataFrame([(i, [1e12 + i]) for i in range(5)], "id long, coords array<double>")
+    with pytest.raises(Exception, match="too far"):
+        D.dbscan_star(df, dims=1, eps=1.0, min_pts=2).count()
