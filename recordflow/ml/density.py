@@ -27,7 +27,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recordflow.ml.components import connected_components
-from recordflow.operators.lookups import lookup, saved, saved_rows
+from recordflow.operators.lookups import BROADCAST_ROWS, lookup, saved, saved_rows
 from recordflow.operators.shaping import with_row_id
 
 NOISE = -1
@@ -545,6 +545,8 @@ def predict(
         )
         keys = [f"g{i}" for i in range(dims)]
         rows = lookup(rows.select("*", *blocks), near, keys, entries=entries).drop(*keys)
+        if entries > BROADCAST_ROWS:  # a split lookup names its input three times
+            rows = saved(rows, "predicted")
 
         def reach(item: Column) -> Column:
             gap = reduce(add, [(a - item[f"e{i}"]) * (a - item[f"e{i}"]) for i, a in enumerate(at)])
