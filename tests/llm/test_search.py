@@ -1,0 +1,139 @@
+"""Near-duplicates and exact search against brute force."""
+
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from recordflow.llm import kd_trees, multi_index
+from recordflow.llm.shingles import shingle_set
+
+
+def brute_components(rows, width, percent):
+    rows = [(i, shingle_set(t, width)) for i, t in rows]
+    lowest = {i: i for i, _ in rows}
+
+    def root(i):
+        while lowest[i] != i:
+            i = lowest[i]
+        return i
+
+    for x, (i, a) in enumerate(rows):
+        for j, b in rows[:x]:
+            both = len(np.intersect1d(a, b))
+            if len(a) and len(b) and 100 * both >= percent * (len(a) + len(b) - both):
+                lowest[max(root(i), root(j))] = min(root(i), root(j))
+    return {i: root(i) for i, _ in rows}
+
+
+def near_texts():
+    """A chain in which only neighbours are near, a large group of near copies, and a shared passage."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(4000)]
+    out, chain = [], rng.sample(words, 120)
+    for _ in range(12):
+        out.append(" ".join(chain))
+        chain = chain[7:] + rng.sample(words, 7)
+    base = rng.sample(words, 80)
+    for _ in range(60):
+        copy = list(base)
+        for _ in range(rng.randint(0, 4)):
+            copy[rng.randrange(80)] = rng.choice(words)
+        out.append(" ".join(copy))
+    passage = rng.sample(words, 60)
+    out += [" ".join(passage + rng.sample(words, rng.randint(10, 60))) for _ in range(60)]
+    out += [" ".join(rng.sample(words, rng.randint(1, 9))) for _ in range(20)]
+    rng.shuffle(out)
+    return [(i, t) for i, t in enumerate(out)]
+
+
+def components(df, **options):
+    return {r.doc_id: r.component_id for r in multi_index.mark_near_copies(df, **options).collect()}
+
+
+def test_components_equal_brute_force(spark):
+    rows = near_texts()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert components(df, width=2) == brute_components(rows, 2, 80)
+
+
+def test_components_of_documents_equal_brute_force(documents):
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    assert components(documents) == brute_components(rows, 5, 80)
+
+
+def test_crossing_compares_all_blocks(spark, monkeypatch):
+    monkeypatch.setattr(multi_index, "BLOCK", 4)
+    rng = np.random.default_rng(1)
+    marks = np.repeat(rng.integers(0, 65535, (1, 128), dtype=np.uint16), 20, axis=0)
+    marks[10:] = rng.integers(0, 65535, 128)
+    groups = spark.createDataFrame(
+        [(i, 10, bytearray(marks[i].tobytes())) for i in range(20)], "node long, size long, signature binary"
+    )
+    for root in (lambda i: i, lambda i: i // 4, lambda i: 0 if i > 6 else i + 1, lambda i: 0):
+        members = spark.createDataFrame([(1, i, root(i)) for i in range(20)], "key long, node long, root long")
+        pairs = {(r.a, r.b) for r in multi_index.crossing(members, groups, 80).collect()}
+        near = {(i, j) for i in range(20) for j in range(i + 1, 20) if (i < 10) == (j < 10)}
+        assert pairs == {(i, j) for i, j in near if root(i) != root(j)}
+
+
+def test_every_pair_within_the_distance_shares_a_key():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        a = rng.integers(0, 65535, (1, multi_index.SYMBOLS), dtype=np.uint16)
+        b = a.copy()
+        at = rng.choice(multi_index.SYMBOLS, multi_index.DISTANCE, replace=False)
+        b[0, at] ^= 1
+        assert np.isin(multi_index.index_keys(a), multi_index.index_keys(b)).any()
+
+
+def test_near_copies_of_odd_rows(odd, empty):
+    rows = multi_index.mark_near_copies(odd, width=5).collect()
+    assert len(rows) == odd.count()
+    by_id = {r.doc_id: r for r in rows}
+    assert (by_id[2].component_id, by_id[2].kept, by_id[1].kept) == (1, False, True)
+    assert all((by_id[i].n_shingles, by_id[i].component_id, by_id[i].kept) == (0, i, True) for i in (3, 4, 5))
+    assert by_id[6].component_id == 6 and by_id[6].n_shingles == 3
+    assert all(r.component_id is None and r.kept for r in rows if r.doc_id is None)
+    assert multi_index.mark_near_copies(empty).count() == 0
+
+
+def brute_top(rows, k, asked):
+    out = set()
+    points = [(i, [int(np.floor(256.0 * x)) for x in v]) for i, v in rows]
+    for q, a in points:
+        if asked(q):
+            scores = [(-sum(x * y for x, y in zip(a, b)), i) for i, b in points if i != q and len(b) == len(a)]
+            for rank, (score, i) in enumerate(sorted(scores)[:k], 1):
+                out.add((q, rank, i, -score))
+    return out
+
+
+def found(df, k, asked):
+    return {tuple(r) for r in kd_trees.top_k(df, asked, k).collect()}
+
+
+def test_top_k_equals_brute_force_over_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(kd_trees, "SHARD", 50)
+    monkeypatch.setattr(kd_trees, "LEAF", 8)
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.integers(-2, 3, 3) / 7]) for i in range(400)]  # many ties
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    kept = [(r.vec_id, [float(x) for x in r.embedding]) for r in df.collect()]
+    assert found(df, 5, F.col("vec_id") % 20 == 0) == brute_top(kept, 5, lambda i: i % 20 == 0)
+
+
+def test_top_k_of_odd_vectors(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [
+        (0, [1.0, 2.0]), (1, [1.0, 2.0]), (2, None), (3, [None, 1.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (None, [1.0, 1.0]),
+        (6, [1.0]), (7, []), (8, [-3.0, 0.5]), (50, [3e37, -3e37]), (100, []), (150, [2.0]), (9, [1e30, 1e30]),
+    ]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<float>, shard string")
+    got = found(df, 2, F.col("vec_id") % 50 == 0)
+    assert {r[:3] for r in got if r[0] == 0} == {(0, 1, 50), (0, 2, 9)} or {r[2] for r in got if r[0] == 0} == {9, 1}
+    assert {r for r in got if r[0] == 150} == {(150, 1, 6, 131072)}
+    assert {r for r in got if r[0] == 100} == {(100, 1, 7, 0)}
+    assert all(r[2] not in (2, 3, 4, 5, None) for r in got)
+    assert max(r[3] for r in got) <= 2**63 - 1
+    assert kd_trees.top_k(df.limit(0), F.col("vec_id") % 50 == 0, 5).count() == 0
