@@ -144,53 +144,76 @@ def linked(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataF
 def crossing(members: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Pairs of near members of a bucket that do not have the same ``root`` yet.
 
-    ``members`` has ``key``, ``node`` and ``root``. The members of a bucket are dealt into blocks, and
-    each pair of blocks is compared on its own, by signatures, so that a large bucket is many small
-    pieces of work and only near pairs come out.
+    ``members`` has ``key``, ``node`` and ``root``. Only members of different roots are compared: those
+    of a bucket's largest root and the others are dealt into blocks, and each pair of blocks, one of
+    them of others, is a piece of work of its own, which compares signatures and hands on near pairs
+    only. So a large group that is connected already is not multiplied.
     """
     roots = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-    mixed = roots.groupBy("key").agg(F.sum("n").alias("members"), F.count(F.lit(1)).alias("roots"))
-    mixed = mixed.filter("roots > 1").select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = saved(dealt, "crossing_members").select("*", other.alias("other")).select(
+    mixed = roots.groupBy("key").agg(
+        F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("mains"), F.sum("n").alias("all")
+    )
+    mixed = mixed.filter(F.col("all") > F.col("mains")).select(
         "key",
-        F.least("block", "other").alias("i"),
-        F.greatest("block", "other").alias("j"),
-        "block",
-        "node",
-        "root",
+        "main",
+        F.ceil(F.col("mains") / BLOCK).cast("int").alias("main_blocks"),
+        F.ceil((F.col("all") - F.col("mains")) / BLOCK).cast("int").alias("blocks"),
     )
+    dealt = members.join(mixed, "key").withColumn("is_main", F.col("root") == F.col("main"))
+    into = F.when(F.col("is_main"), F.col("main_blocks")).otherwise(F.col("blocks"))
+    dealt = saved(dealt.withColumn("block", F.pmod(F.xxhash64("node"), into).cast("int")), "crossing_members")
+
+    def each(count: str, unit):
+        return F.transform(F.sequence(F.lit(0), F.col(count) - 1), unit)
+
+    def unit(i, j):
+        return F.struct(i.alias("i"), j.alias("j"))
+
+    block, after = F.col("block"), F.col("main_blocks")
+    mains = each("blocks", lambda j: unit(block, j))
+    with_mains = each("main_blocks", lambda i: unit(i, block))
+    with_others = each("blocks", lambda o: unit(after + F.least(o, block), F.greatest(o, block)))
+    units = F.when(F.col("is_main"), mains).otherwise(F.concat(with_mains, with_others))
+    dealt = dealt.select("key", "node", "root", "is_main", "block", "main_blocks", F.explode(units).alias("unit"))
     side = groups.select("node", "size", "signature")
-    ordered = dealt.join(side, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    ordered = (
+        dealt.join(side, "node")
+        .select("key", "unit.*", "node", "root", "is_main", "block", "main_blocks", "size", "signature")
+        .repartition("key", "i", "j")
+        .sortWithinPartitions("key", "i", "j")
+    )
 
     def compare(rows: pa.Table):
-        node, root, block = (rows.column(c).to_numpy() for c in ("node", "root", "block"))
-        size = rows.column("size").to_numpy()
-        i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
+        node, root, block, size = (rows.column(c).to_numpy() for c in ("node", "root", "block", "size"))
+        is_main = rows.column("is_main").to_numpy()
+        i, j, after = (rows.column(c)[0].as_py() for c in ("i", "j", "main_blocks"))
         marks = unpack(rows.column("signature"))
-        for x in np.flatnonzero(block == i):
-            y = np.flatnonzero((block == j) & (root != root[x]) & (node > node[x] if i == j else True))
+        left = np.flatnonzero(is_main if i < after else block == i - after)
+        right = ~is_main & (block == j)
+        for x in left:
+            y = np.flatnonzero(right & (root != root[x]) & ((node > node[x]) if i - after == j else True))
             y = y[100 * np.minimum(size[y], size[x]) >= percent * np.maximum(size[y], size[x])]
             y = y[(marks[y] != marks[x]).sum(axis=1) <= DISTANCE]
-            yield np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
+            yield from zip(np.minimum(node[x], node[y]).tolist(), np.maximum(node[x], node[y]).tolist())
 
     def run(batches):
+        found: set[tuple] = set()  # a pair meets in many buckets
         held = None  # rows of a unit that may go on in the next batch
         for batch in chain(batches, [None]):
             if batch is not None:
                 table = pa.Table.from_batches([batch])
                 held = table if held is None else pa.concat_tables([held, table]).combine_chunks()
-            if held is None or not held.num_rows:
-                continue
-            ids = np.stack([held.column(c).to_numpy() for c in ("key", "i", "j")])
-            cuts = np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1
-            edges = [0, *cuts.tolist(), *([held.num_rows] if batch is None else [])]
-            found = [p for a, b in zip(edges, edges[1:]) if b - a > 1 for p in compare(held.slice(a, b - a))]
-            held = held.slice(edges[-1])
-            if found:
-                left, right = (np.concatenate(side) for side in zip(*found))
-                yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(right)], ["a", "b"])
+            if held is not None and held.num_rows:
+                ids = np.stack([held.column(c).to_numpy() for c in ("key", "i", "j")])
+                cuts = np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1
+                edges = [0, *cuts.tolist(), *([held.num_rows] if batch is None else [])]
+                for a, b in zip(edges, edges[1:]):
+                    if b - a > 1:
+                        found.update(compare(held.slice(a, b - a)))
+                held = held.slice(edges[-1])
+            if found and (batch is None or len(found) > 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(side) for side in zip(*sorted(found))], ["a", "b"])
+                found.clear()
 
     kind = dict(groups.dtypes)["node"]
     return ordered.mapInArrow(run, f"a {kind}, b {kind}").distinct()
@@ -238,19 +261,26 @@ def mark_near_copies(docs: DataFrame, *, width: int = 5, percent: int = 80) -> D
     links = linked(near(first.select("a", "b"), groups, percent), docs, width, percent)
 
     nodes = saved(members.select("node").distinct(), "bucket_nodes")
-    roots, entries = saved_rows(connected_components(nodes, links), "first_roots")
+    roots, entries = saved_rows(connected_components(nodes, links), "roots")
 
     def with_root(rows: DataFrame, end: str, name: str) -> DataFrame:
         table = roots.select(F.col("node").alias(end), F.col("root").alias(name))
         return lookup(rows, table, [end], "inner", entries=entries)
 
+    def also(pairs: DataFrame) -> None:
+        """Connect what the open pairs link."""
+        nonlocal links, roots
+        pairs, size = saved_rows(pairs, "open_pairs")
+        if size:
+            links = saved(links.union(linked(pairs, docs, width, percent)), "links")
+            roots = saved(connected_components(nodes, links), "roots")
+
     rest = with_root(with_root(stars, "node", "root"), "center", "center_root").filter("root <> center_root")
-    rest = near(rest.select(F.col("center").alias("a"), F.col("node").alias("b")), groups, percent)
+    also(near(rest.select(F.col("center").alias("a"), F.col("node").alias("b")), groups, percent))
+    # All members are paired with the center; what is left are members in other components.
     others = with_root(members.filter("members > 2 and node <> center").select("key", "node"), "node", "root")
-    rest = saved(rest.union(crossing(saved(others, "others"), groups, percent)).distinct(), "open_pairs")
-    links = saved(links.union(linked(rest, docs, width, percent)), "links")
+    also(crossing(saved(others, "others"), groups, percent))
 
-    roots = connected_components(nodes, links)
     lowest = roots.groupBy("root").agg(F.min("node").alias("component_id"))
     found, entries = saved_rows(lookup(roots, lowest, ["root"]).select("node", "component_id"), "components_by_node")
     classes = lookup(groups.select("digest", "node"), found, ["node"], entries=entries)
