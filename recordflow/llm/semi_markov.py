@@ -303,12 +303,18 @@ def train(texts: list[str]) -> Field:
 
 
 def fit(docs: DataFrame) -> Field:
-    """Train on the documents with base spans that come first by a hash of their text."""
-    likely = docs.select(F.col("text").cast("string").alias("text")).filter(
-        F.col("text").rlike(r"@|\+[0-9]|[0-9]{4}|[0-9]\.[0-9]")
-    )
-    picked = likely.orderBy(F.xxhash64("text"), "text").limit(TRAIN_DOCS).collect()
-    return train([r["text"] for r in picked])
+    """Train on documents with numbers or addresses: those that come first by a hash of their text.
+
+    Only hashes are sorted, so that the driver gets TRAIN_DOCS texts at most, whatever the table.
+    """
+    likely = docs.select(F.col("text").cast("string").alias("text")).withColumn("hash", F.xxhash64("text"))
+    marks = likely.filter(F.col("text").rlike(r"@|\+[0-9]|[0-9]{4}|[0-9]\.[0-9]")).select("hash")
+    first = marks.orderBy("hash").limit(TRAIN_DOCS).collect()
+    if not first:
+        return Field()
+    near = likely.filter(F.col("hash") <= first[-1]["hash"])
+    near = near.filter(F.col("text").rlike(r"@|\+[0-9]|[0-9]{4}|[0-9]\.[0-9]"))
+    return train([r["text"] for r in near.groupBy("hash", "text").count().orderBy("hash", "text").collect()])
 
 
 def find(docs: DataFrame) -> DataFrame:
