@@ -7,24 +7,36 @@ fixed stride, so any slot is found by its number, and a reader goes on where it
 
 from __future__ import annotations
 
+import base64
 import hashlib
+from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recordflow.llm.merge_replay import BLOCK_CHARS, blocks, encoder
+from recordflow.llm.merge_replay import blocks
 from recordflow.llm.shingles import mix
 
 ROUNDS = 6
+#: Characters of text that are packed at a time.
+BLOCK_CHARS = 4_000_000
 #: A record: id of the first document, number of documents, number of tokens (big-endian), then the
 #: tokens (16 bits, little-endian), then a line feed as a guard.
 HEADER = np.dtype([("doc", ">i8"), ("docs", ">i4"), ("tokens", ">i4")])
 GUARD = 1
 
 
+@lru_cache(maxsize=2)
+def library(path: str, pattern: str) -> tiktoken.Encoding:
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+
 def stride(length: int) -> int:
     return HEADER.itemsize + 2 * length + GUARD
 
@@ -69,7 +81,7 @@ class Packer:
         """The records of all whole sequences; with ``last``, of the rest as well."""
         parts, owners = [self.tokens], [self.owners]
         for doc_id, ids in zip(doc_ids, texts):
-            parts += [ids.astype(np.uint16), np.array([self.stop], np.uint16)]
+            parts += [np.array(ids, np.uint16), np.array([self.stop], np.uint16)]
             owners.append(np.full(len(ids) + 1, len(self.ids)))
             self.ids.append(doc_id)
         tokens, owner = np.concatenate(parts), np.concatenate(owners)
@@ -115,9 +127,9 @@ def write(
     source = docs.select("doc_id", F.col("text").cast("string"))
 
     def records(batches):
-        words, packer = encoder(tokenizer, pattern), Packer(length, stop)
+        encode, packer = library(tokenizer, pattern).encode_ordinary, Packer(length, stop)
         for doc_ids, texts in blocks(batches, BLOCK_CHARS):
-            yield packer.add(doc_ids, words.encode(texts))
+            yield packer.add(doc_ids, map(encode, texts))
         yield packer.add([], [], last=True)
 
     def count(batches):
