@@ -49,7 +49,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return raking.by_form(docs).filter("kept").select("doc.*")
+    return raking.by_form(docs, sample=raking.SAMPLE).filter("kept").select("doc.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

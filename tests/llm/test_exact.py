@@ -5,8 +5,9 @@ from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
+from recordflow.llm import stages
 from recordflow.llm.content_sort import mark_copies
-from recordflow.llm.raking import by_form, rake, tempered
+from recordflow.llm.raking import SAMPLE, by_form, rake, tempered
 from recordflow.llm.splitters import OVERHEAD, assign_shards
 
 
@@ -98,6 +99,34 @@ def test_raking_odd_rows(odd, empty):
     assert by_form(empty).count() == 0
 
 
+def test_a_rare_source_does_not_scale_the_others_down(spark):
+    docs = spark.range(6000).select(
+        F.col("id").alias("doc_id"),
+        F.concat(F.lit("s"), F.col("id") % 2).alias("source"),
+        F.when(F.col("id") % 5 == 0, "de").otherwise("en").alias("lang"),
+        F.repeat(F.lit("word "), 80).alias("text"),
+    )
+    rare = spark.createDataFrame([(6000, "rare", "xx", "word " * 400)], docs.schema)
+
+    def tokens(df, kept):
+        return by_form(df, sample=SAMPLE).filter(kept).agg(F.sum("n_tokens")).first()[0]
+
+    for df in (docs, docs.union(rare)):
+        assert abs(tokens(df, "kept") / tokens(df, "true") - SAMPLE) < 0.02
+    rows = by_form(docs.union(rare), sample=SAMPLE).select("source", "lang", "n_tokens", "probability", "kept").collect()
+    assert all(r.kept and r.probability == 1 for r in rows if r.source == "rare")
+    drawn = {}
+    for r in rows:
+        drawn[r.source] = drawn.get(r.source, 0.0) + r.n_tokens * r.probability
+    assert abs(drawn["s0"] / drawn["s1"] - 1) < 0.001
+
+
+def test_mixing_keeps_its_sample_next_to_a_rare_source(spark):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "'s' AS source", "'en' AS lang", "repeat('word ', 80) AS text")
+    rare = spark.createDataFrame([(3000, "rare", "xx", "word " * 400)], docs.schema)
+    assert stages.mix_sources(spark, docs.union(rare), "").count() > 0.6 * docs.count()
+
+
 def test_powers_of_one_keep_everything(documents):
     rows = rake(documents, {"lang": F.col("lang")}, F.octet_length("text"), {"lang": tempered(1)}).collect()
     assert all(r.kept for r in rows)
