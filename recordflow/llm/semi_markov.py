@@ -34,10 +34,19 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 
 TOKEN = re.compile(r"[0-9]+|[^\W0-9_]+|\S")
-#: Places that segments of two or more tokens lie at: long numbers and spelled-out addresses.
-ANCHOR = re.compile(r"[(\[]?[0-9][0-9 ().\[\]/:-]{5,}[0-9]|(?i:\bdot\b|[\[(](?:dot|\.)[\])])")
-ADDRESS = re.compile(
-    r"(?i)[\w.%+-]+(?: at | ?[\[(](?:at|@)[\])] ?|@)[\w-]+(?:(?: dot | ?[\[(](?:dot|\.)[\])] ?|\.)[\w-]+)+"
+_AT = r" at | ?[\[(](?:at|@)[\])] ?|@"
+_DOMAIN = r"[\w-]+(?:(?: dot | ?[\[(](?:dot|\.)[\])] ?|\.)[\w-]+)+"
+ADDRESS = re.compile(rf"(?i)[\w.%+-]+(?:{_AT}){_DOMAIN}")
+#: Places that segments of two or more tokens lie at: long numbers, an at-form before a dotted name (with
+#: the name as group 1), and spelled-out dots.
+ANCHOR = re.compile(
+    rf"[(\[]?[0-9][0-9 ().\[\]/:-]{{5,}}[0-9]|(?i:(?:{_AT})(?=({_DOMAIN}))|\bdot\b|[\[(](?:dot|\.)[\])])"
+)
+NAME = frozenset("._%+-")
+#: Words that stand before " at " and a site's name in prose.
+PROSE = frozenset(
+    "look looks looking available find found see hosted online live us more me page site visit posted read here is are was be out"
+    " it them information details arrive arrived meet stay work works working".split()
 )
 CUES = frozenset("tel phone call fax mobile card visa mail email contact ip host server address".split())
 
@@ -103,6 +112,9 @@ def span_features(span: str, left: str, right: str) -> list[str]:
         out.append(f"luhn {luhn(digits)}")
     if re.fullmatch(r"[0-9]+(?:(?:\.|\[\.\]|\(\.\))[0-9]+){3}", span):
         out.append(f"small parts {small_parts(re.findall('[0-9]+', span))}")
+    before, _, rest = span.partition(" ")
+    if rest[:3].lower() == "at ":
+        out.append(f"before at {'prose' if before.lower() in PROSE else 'word' if before.isalpha() else 'name'}")
     return out
 
 
@@ -120,17 +132,18 @@ class Window:
             first = text[start]
             if not (first.isalnum() or first in "+(["):
                 continue
-            digits = letters = 0
+            digits = letters = ats = 0
             for j in range(i, min(i + SEGMENT, len(tokens))):
                 a, b = tokens[j]
                 if j > i and re.search(r"\n|\s{3}", text[tokens[j - 1][1] : a]):
                     break
                 digits += b - a if text[a] in "0123456789" else 0
                 letters += text[a].isalpha()
+                ats += text[a:b].lower() in ("@", "at")
                 if not text[b - 1].isalnum() or digits > 24:
                     continue
-                if letters > 2:
-                    kinds = (0,) if ADDRESS.fullmatch(text[start:b]) else ()
+                if letters > 2 or ats:
+                    kinds = (0,) if ats and ADDRESS.fullmatch(text[start:b]) else ()
                 else:
                     kinds = (1, 2, 3) if digits >= 4 and not letters else ()
                 if kinds:
@@ -225,8 +238,13 @@ def windows(text: str, taken: list[Span]) -> list[Window]:
     for start, end in [*sorted((a, b) for _, a, b in taken), (len(text), len(text))]:
         regions: list[list[int]] = []
         for m in ANCHOR.finditer(text, free, max(start, free)):
-            reach = 60 if m.group()[-1].isalpha() or m.group()[0] in "[(" else 12
+            reach = 12 if "0" <= m.group()[-1] <= "9" and m.group()[0] not in "[(" else 60
             a, b = max(m.start() - reach, free), min(m.end() + reach, start)
+            if m.group(1):  # however long, the whole address is in the window
+                name = m.start()
+                while name > free and (text[name - 1].isalnum() or text[name - 1] in NAME):
+                    name -= 1
+                a, b = min(a, name), max(b, m.end(1))
             if regions and a <= regions[-1][1]:
                 regions[-1][1] = max(b, regions[-1][1])
             else:
@@ -262,6 +280,21 @@ def rewritten(kind: int, span: str, rng: random.Random) -> str:
     return rng.choice(["({}) {}-{}", "{}-{}-{}", "{}.{}.{}", "{} {} {}"]).format(area, rest[:3], rest[3:])
 
 
+def at_rewritten(span: str, rng: random.Random) -> str:
+    """The same address with only the at-sign rewritten, half of them with fewer parts and no digits."""
+    name, _, domain = span.rpartition("@")
+    word = re.match(r"[A-Za-z]+", name)
+    if word and rng.random() < 0.5:
+        name, domain = word.group(), re.sub("[0-9]", "", domain)
+    return name + rng.choice([" at ", " at ", " at ", " [at] ", "(at)", "[at]", "(@)", "@"]) + domain
+
+
+def site_in_prose(rng: random.Random) -> str:
+    """Prose that names a site in the form of an address."""
+    site = f"{rng.choice(['www.', ''])}{rng.choice(['example', 'site', 'news'])}.{rng.choice(['com', 'org', 'co.uk'])}"
+    return f"{rng.choice(sorted(PROSE))} at {site}"
+
+
 def look_alike(rng: random.Random) -> str:
     """A number in a similar notation that is no personal datum."""
     d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
@@ -281,7 +314,10 @@ def train(texts: list[str]) -> Field:
     for text in texts:
         for kind, a, b in base_spans(text)[:8]:
             left, right = text[max(a - 40, 0) : a], text[b : b + 40]
-            for span, positive in ((text[a:b], True), (rewritten(kind, text[a:b], rng), True), (look_alike(rng), False)):
+            forms = [(text[a:b], True), (rewritten(kind, text[a:b], rng), True), (look_alike(rng), False)]
+            if kind == 0:
+                forms += [(at_rewritten(text[a:b], rng), True), (at_rewritten(text[a:b], rng), True), (site_in_prose(rng), False)]
+            for span, positive in forms:
                 near = left + span + right
                 region = [m.span() for m in TOKEN.finditer(near)]
                 window = Window(near, region)

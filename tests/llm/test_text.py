@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +74,46 @@ def test_the_field_leaves_look_alikes(model, text):
     assert semi_markov.added_spans(text, semi_markov.base_spans(text), model) == []
 
 
+def test_windows_cover_every_address():
+    parts = ["jane", "john.doe", " at ", " [at] ", "(at)", "(@)", "@", "example", "exämple", ".", " dot ", "[.]", "(dot)"]
+    parts += ["com", "1", " ", " AT ", "_x", "x" * 70, "\n"]
+    rng, seen = random.Random(5), 0
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(3, 30))) for _ in range(4000)]
+    texts += ["name@exämple.de", "an john(at)example.org on", "jane at example.co.uk", "x" * 200 + " [at] " + "y" * 200 + ".com"]
+    for text in texts:
+        found = [m.span() for m in semi_markov.ADDRESS.finditer(text)]
+        inside = [(w.tokens[0][0], w.tokens[-1][1]) for w in semi_markov.windows(text, []) if w.tokens]
+        for a, b in found:
+            seen += 1
+            assert any(x <= a and b <= y for x, y in inside), (text, text[a:b])
+    assert seen > 1000
+
+
+@pytest.fixture(scope="module")
+def trained():
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist()
+    return semi_markov.train(sorted({t for t in texts if t and semi_markov.base_spans(t)}, key=lambda t: hashlib.md5(t.encode()).digest()))
+
+
+@pytest.mark.parametrize(
+    "text,span",
+    [
+        ("er john.doe [at] example.com on", "john.doe [at] example.com"),
+        ("er john(at)example.org on", "john(at)example.org"),
+        ("er jane at example.co.uk on", "jane at example.co.uk"),
+        ("er jane@exämple.de on", "jane@exämple.de"),
+    ],
+)
+def test_the_field_finds_rewritten_ats(trained, text, span):
+    found = semi_markov.added_spans(text, semi_markov.base_spans(text), trained)
+    assert ("email", span) in [(semi_markov.KINDS[k], text[a:b]) for k, a, b in found]
+
+
+@pytest.mark.parametrize("text", ["er available at example.com on", "we look at news.example.org now"])
+def test_the_field_leaves_sites_in_prose(trained, text):
+    assert semi_markov.added_spans(text, semi_markov.base_spans(text), trained) == []
+
+
 def test_the_gradient_is_that_of_the_likelihood():
     """Against the sum over all segmentations, by numeric differences."""
     window = semi_markov.windows("a (256) 555-6953 b", [])[0]
