@@ -9,6 +9,7 @@ negative ones.
 
 from __future__ import annotations
 
+import heapq
 import math
 import random
 import re
@@ -19,11 +20,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from recordflow.operators.lookups import saved
+
 KINDS = ("email", "ip", "card", "phone")
 #: Tokens that a segment may have.
 SEGMENT = 24
-#: Documents with base spans that the field is trained on, passes over them, and its seed.
-TRAIN_DOCS, PASSES, SEED = 400, 4, 7
+#: Distinct texts with base spans of a kind that the field is trained on, for each kind; base spans taken
+#: from one text, in turn by kind; passes over them, and the seed.
+TRAIN_DOCS, TRAIN_SPANS, PASSES, SEED = 100, 8, 4, 7
 
 LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -307,12 +311,22 @@ def look_alike(rng: random.Random) -> str:
     )
 
 
+def dealt_spans(text: str) -> list[Span]:
+    """The first TRAIN_SPANS base spans, taking the first of each kind, then the second of each, and so on."""
+    seen: dict[int, int] = defaultdict(int)
+    ranked = []
+    for span in base_spans(text):
+        ranked.append((seen[span[0]], span))
+        seen[span[0]] += 1
+    return [span for _, span in sorted(ranked)[:TRAIN_SPANS]]
+
+
 def train(texts: list[str]) -> Field:
     """Fit the field by stochastic ascent of the likelihood, with steps that shrink by feature."""
     rng = random.Random(SEED)
     examples = []
     for text in texts:
-        for kind, a, b in base_spans(text)[:8]:
+        for kind, a, b in dealt_spans(text):
             left, right = text[max(a - 40, 0) : a], text[b : b + 40]
             forms = [(text[a:b], True), (rewritten(kind, text[a:b], rng), True), (look_alike(rng), False)]
             if kind == 0:
@@ -339,17 +353,35 @@ def train(texts: list[str]) -> Field:
 
 
 def fit(docs: DataFrame) -> Field:
-    """Train on documents with numbers or addresses: those that come first by a hash of their text.
+    """Train on texts with base spans: for each kind, the TRAIN_DOCS that come first by a hash of the text.
 
-    Only hashes are sorted, so that the driver gets TRAIN_DOCS texts at most, whatever the table.
+    Each task hands on its first hashes of each kind, without repeats, so copies count once and the
+    driver gets TRAIN_DOCS texts of a kind at most, whatever the table.
     """
-    likely = docs.select(F.col("text").cast("string").alias("text")).withColumn("hash", F.xxhash64("text"))
-    marks = likely.filter(F.col("text").rlike(r"@|\+[0-9]|[0-9]{4}|[0-9]\.[0-9]")).select("hash")
-    first = marks.orderBy("hash").limit(TRAIN_DOCS).collect()
-    if not first:
+    texts = docs.select(F.col("text").cast("string").alias("text")).withColumn("hash", F.xxhash64("text"))
+    # What every base span has, so that the other texts do not reach Python.
+    likely = texts.filter(F.col("text").rlike(r"@|\+[0-9]|[0-9]\.[0-9]|[0-9](?:[ -]?[0-9]){15}"))
+
+    def firsts(batches):
+        found: list[set[int]] = [set() for _ in KINDS]
+        for batch in batches:
+            for text, value in zip(batch.column(0), batch.column(1).to_pylist()):
+                for kind in {span[0] for span in base_spans(text.as_py())}:
+                    found[kind].add(value)
+            found = [set(heapq.nsmallest(TRAIN_DOCS, hashes)) for hashes in found]
+        rows = [(kind, value) for kind, hashes in enumerate(found) for value in hashes]
+        kinds, values = zip(*rows) if rows else ((), ())
+        columns = [pa.array(kinds, pa.int32()), pa.array(values, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["kind", "hash"])
+
+    marks = saved(likely.mapInArrow(firsts, "kind int, hash long").distinct(), "train_hashes")
+    picked = set()
+    for kind in range(len(KINDS)):
+        first = marks.filter(F.col("kind") == kind).orderBy("hash").limit(TRAIN_DOCS).collect()
+        picked.update(row["hash"] for row in first)
+    if not picked:
         return Field()
-    near = likely.filter(F.col("hash") <= first[-1]["hash"])
-    near = near.filter(F.col("text").rlike(r"@|\+[0-9]|[0-9]{4}|[0-9]\.[0-9]"))
+    near = likely.filter(F.col("hash").isin(sorted(picked)))
     return train([r["text"] for r in near.groupBy("hash", "text").count().orderBy("hash", "text").collect()])
 
 

@@ -114,6 +114,23 @@ def test_the_field_leaves_sites_in_prose(trained, text):
     assert semi_markov.added_spans(text, semi_markov.base_spans(text), trained) == []
 
 
+def test_training_texts_have_spans_of_every_kind_and_no_copies(spark, monkeypatch):
+    """Next to many rows with years and prices, and a text copied more often than the sample is large."""
+    plain = spark.range(3000).selectExpr("concat('in ', 1000 + id, ' for ', id, '.50 each') AS text")
+    copies = spark.range(1000).selectExpr("'call +1 (256) 555-6953 now' AS text")
+    rare = [("mail bob.1@mail2.example.com on",), ("host 10.0.0.1 is",), ("card 4111 1111 1111 1111 on",), ("tel +49 30 1234 567 a",)]
+    docs = plain.union(copies).union(spark.createDataFrame(rare, plain.schema)).repartition(5)
+    seen = []
+    monkeypatch.setattr(semi_markov, "train", lambda texts: seen.extend(texts) or semi_markov.Field())
+    semi_markov.fit(docs)
+    assert sorted(seen) == sorted(["call +1 (256) 555-6953 now", *(t for t, in rare)])
+
+
+def test_spans_of_one_text_are_dealt_over_the_kinds():
+    text = " ".join(f"bob.{i}@mail.example.com" for i in range(20)) + " 10.0.0.1 and 4111 1111 1111 1111, +1 (256) 555-6953"
+    assert {s[0] for s in semi_markov.dealt_spans(text)} == {0, 1, 2, 3} and len(semi_markov.dealt_spans(text)) == 8
+
+
 def test_the_gradient_is_that_of_the_likelihood():
     """Against the sum over all segmentations, by numeric differences."""
     window = semi_markov.windows("a (256) 555-6953 b", [])[0]
