@@ -409,12 +409,12 @@ def cluster_fit(spark, sf):
 
 def cluster_tree(spark, sf):
     """Clusters chosen from a ladder of radii."""
-    return density.hierarchy(_customer_points(spark, sf), dims=2, eps=3.0, levels=2).labels
+    return density.hierarchy(_customer_points(spark, sf), dims=2).labels
 
 
 def cluster_predict(spark, sf):
     """Cluster of the nearest exemplar, for suppliers placed among the customers."""
-    tree = density.hierarchy(_customer_points(spark, sf), dims=2, eps=1.5, levels=1)
+    tree = density.hierarchy(_customer_points(spark, sf), dims=2)
     index = saved(density.exemplar_index(tree.exemplars, 2), "index")
     suppliers = views.table(spark, sf, "supplier").select(
         F.col("s_suppkey").alias("id"),
@@ -435,14 +435,14 @@ def encode_pca(spark, sf):
 def score_anomalies(spark, sf):
     """Fit on the training share of the opportunities, then label all of them."""
     records = views.scoring_records(spark, sf)
-    model = anomaly.fit(records, dims=2, eps=0.4, levels=2)
+    model = anomaly.fit(records)
     return model.score(records)
 
 
 def regress_score(spark, sf):
     """Fit days to close on the training share, then score all rows."""
     features = saved(FT.regression_features(views.report(spark, sf)), "regression")
-    return regression.predict(regression.fit(features, rounds=5, depth=4), features).select("Id", "prediction")
+    return regression.predict(regression.fit(features), features).select("Id", "prediction")
 
 
 QUERIES = {

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F, types as T
 from recordflow.ml import anomaly, regression
 from recordflow.ml.inference import affine_encoder, batch_predictor, linear_model
 from recordflow.operators.features import hash_features
-from recordflow.plans import jobs, views
+from recordflow.plans import jobs, queries, views
 
 
 def test_one_prediction_per_row_whatever_the_batch(spark):
@@ -68,3 +68,27 @@ def test_regression_job(spark, small, tmp_path):
     jobs.train_regressor(report, str(tmp_path / "r"), rounds=2, depth=3)
     scored = jobs.score_regressor(report, str(tmp_path / "r"))
     assert scored.count() == 400 and scored.columns == ["Id", "x", "prediction"]
+
+
+def test_model_queries_use_the_defaults(spark, small, monkeypatch):
+    class Stop(Exception):
+        pass
+
+    given = {}
+
+    def recorder(name):
+        def call(*_, **options):
+            given[name] = options
+            raise Stop
+
+        return call
+
+    monkeypatch.setattr(queries.density, "hierarchy", recorder("hierarchy"))
+    monkeypatch.setattr(queries.anomaly, "fit", recorder("anomaly"))
+    monkeypatch.setattr(queries.regression, "fit", recorder("regression"))
+    expected = {"cluster_tree": {"dims": 2}, "cluster_predict": {"dims": 2}, "score_anomalies": {}, "regress_score": {}}
+    for name, options in expected.items():
+        given.clear()
+        with pytest.raises(Stop):
+            queries.QUERIES[name](spark, small)
+        assert list(given.values()) == [options], name
