@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recordflow.llm import kd_trees, merge_replay, raking, semi_markov, training_order
+from recordflow.llm import filter_audit, kd_trees, merge_replay, raking, semi_markov, training_order
 from recordflow.llm.content_sort import mark_copies
 from recordflow.llm.digest_cache import count_tokens
 from recordflow.llm.multi_index import mark_near_copies
@@ -98,7 +98,11 @@ def op10_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(read(spark, sf_dir, "documents"), shards=40)
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_semi_markov, op2_kd_trees, op3_feistel_order, op4_merge_replay, op5_multi_index, op6_content_sort, op7_digest_cache, op8_levenshtein_lexicon, op9_raking, op10_sampled_splitters)}
+def op13_lehmer_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+LLM_QUERIES = {f.__name__: f for f in (op1_semi_markov, op2_kd_trees, op3_feistel_order, op4_merge_replay, op5_multi_index, op6_content_sort, op7_digest_cache, op8_levenshtein_lexicon, op9_raking, op10_sampled_splitters, op13_lehmer_audit)}
 
 LLM_ORACLES = {
     "op2_kd_trees": """
@@ -115,6 +119,7 @@ LLM_ORACLES = {
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
     "op9_raking": raking.oracle(),
+    "op13_lehmer_audit": filter_audit.oracle(),
     "op5_multi_index": """
         WITH RECURSIVE lowered AS (
             SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
