@@ -8,10 +8,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recordflow.llm import filter_audit, kd_trees, merge_replay, raking, semi_markov, training_order
+from recordflow.llm import alignment, filter_audit, kd_trees, merge_replay, raking, semi_markov, training_order
 from recordflow.llm.content_sort import mark_copies
 from recordflow.llm.digest_cache import count_tokens
 from recordflow.llm.multi_index import mark_near_copies
+from recordflow.llm.simhash import mark_fingerprints
 from recordflow.llm.splitters import assign_shards
 from recordflow.llm.toxicity import mark_toxic
 from recordflow.session import scratch_path
@@ -98,11 +99,20 @@ def op10_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(read(spark, sf_dir, "documents"), shards=40)
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mark_fingerprints(read(spark, sf_dir, "documents"))
+
+
+def op12_perfect_hash_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(read(spark, sf_dir, "documents"), *paths)
+
+
 def op13_lehmer_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_filters(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_semi_markov, op2_kd_trees, op3_feistel_order, op4_merge_replay, op5_multi_index, op6_content_sort, op7_digest_cache, op8_levenshtein_lexicon, op9_raking, op10_sampled_splitters, op13_lehmer_audit)}
+LLM_QUERIES = {f.__name__: f for f in (op1_semi_markov, op2_kd_trees, op3_feistel_order, op4_merge_replay, op5_multi_index, op6_content_sort, op7_digest_cache, op8_levenshtein_lexicon, op9_raking, op10_sampled_splitters, op11_simhash, op12_perfect_hash_alignment, op13_lehmer_audit)}
 
 LLM_ORACLES = {
     "op2_kd_trees": """
