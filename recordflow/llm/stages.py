@@ -18,10 +18,19 @@ def without(docs: DataFrame, key: Column, dropped: DataFrame) -> DataFrame:
     return lookup(rows, table, ["key"]).filter("dropped is null").select("doc.*")
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, longer where the table has such a column."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
-    scored = toxicity.score(docs, toxicity.fit(docs, labels), "_toxicity")
-    return scored.filter(F.col("_toxicity") < toxicity.THRESHOLD).select(*docs.columns)
+    score = free_name(docs, "_toxicity")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels), score)
+    return scored.filter(F.col(score) < toxicity.THRESHOLD).select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +46,9 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     left = without(docs, own, saved(lost.select("key"), "dropped"))
     if again.isEmpty():
         return left
-    repeats = docs.withColumn("_key", own).join(again.withColumnRenamed("key", "_key"), "_key", "left_semi")
-    return left.union(repeats.dropDuplicates(["_key"]).select(*docs.columns))
+    name = free_name(docs, "_key")
+    repeats = docs.withColumn(name, own).join(again.withColumnRenamed("key", name), name, "left_semi")
+    return left.union(repeats.dropDuplicates([name]).select(*docs.columns))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,12 +9,14 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from recordflow.operators.lookups import lookup, saved
@@ -31,14 +33,17 @@ FUZZY_LENGTH = 5
 #: Words on either side that make up the context of a term.
 WINDOW = 8
 THRESHOLD = 0.3
-#: Characters of words whose match a worker remembers.
-WORD_CHARS = 5_000_000
+#: Characters of words whose match a worker remembers within a partition, and of texts that it scores in one step.
+WORD_CHARS = 1_000_000
+STEP_CHARS = 4_000_000
 
 WORD = re.compile(r"\w+")
-OPENING, CLOSING = "\"“«„‘'", "\"”»“’'"
-#: Exact and misspelled terms used, the same when quoted, terms per hundred words, and 1. The prior
-#: means hold where the labels say nothing: used terms are abuse, quoted ones are not.
-PRIOR = np.array([2.0, 1.5, 0.2, 0.1, 0.2, -4.0])
+#: Opening marks and what closes them.
+QUOTES = {'"': '"', "'": "'", "“": "”", "„": "“”", "«": "»", "»": "«", "‘": "’"}
+MARK = re.compile("[" + "".join(sorted({c for pair in QUOTES.items() for c in "".join(pair)})) + "]")
+#: Exact and misspelled terms used, the same when quoted, terms per hundred words, used terms that have
+#: another in their window, and 1. The prior means hold where the labels say nothing: used terms are abuse, quoted ones are not.
+PRIOR = np.array([2.0, 1.5, 0.2, 0.1, 0.2, 0.0, -4.0])
 
 
 def held_out(doc_id: Column) -> Column:
@@ -104,8 +109,9 @@ class Matcher:
         self.found: dict[str, tuple[int, int]] = {}
         self.chars = 0
 
-    def hits(self, text: str | None) -> tuple[list[tuple[int, int, bool]], int]:
-        """(term, edits, quoted) of each matching word, and the number of words."""
+    def hits(self, text: str | None) -> tuple[list[tuple[int, int, bool, bool]], int]:
+        """(term, edits, quoted, close) of each matching word, and the number of words; ``close``
+        says that another used term is in the window."""
         lowered = (text or "").lower()
         words = WORD.findall(lowered)
         distinct = set(words)
@@ -120,39 +126,70 @@ class Matcher:
         out = []
         if marked:
             spans = [m.span() for m in WORD.finditer(lowered)]
-            for k, (word, (start, end)) in enumerate(zip(words, spans)):
-                if word in marked:
-                    left = lowered[spans[max(k - WINDOW, 0)][0] : start]
-                    right = lowered[end : spans[min(k + WINDOW, len(spans) - 1)][1]]
-                    out.append((*self.found[word], quoted(left, right)))
+            places = [k for k, word in enumerate(words) if word in marked]
+            quotes = quotations(lowered)
+            starts = [a for a, _ in quotes]
+            inside = []
+            for k in places:
+                q = bisect_right(starts, spans[k][0]) - 1
+                inside.append(q >= 0 and quotes[q][1] >= spans[k][1])
+            used = [k for k, q in zip(places, inside) if not q]
+            for k, q in zip(places, inside):
+                at = bisect_left(used, k)
+                near = used[max(at - 1, 0) : at] + [x for x in used[at : at + 2] if x != k][:1]
+                out.append((*self.found[words[k]], q, any(abs(x - k) <= WINDOW for x in near)))
         if self.chars > WORD_CHARS:
-            self.seen.clear()
-            self.found.clear()
-            self.chars = 0
+            self.clear()
         return out, len(words)
 
+    def clear(self) -> None:
+        self.seen.clear()
+        self.found.clear()
+        self.chars = 0
 
-def quoted(left: str, right: str) -> bool:
-    """Whether a quotation opens in the context before a term and closes in that after it."""
-    left, right = re.sub(r"(?<=\w)['’](?=\w)", "", left), re.sub(r"(?<=\w)['’](?=\w)", "", right)
-    for opening, closing in zip(OPENING, CLOSING):
-        opens = left.count(opening) % 2 if opening == closing else left.count(opening) - left.count(closing)
-        if opens > 0 and closing in right:
-            return True
-    return False
-
-
-@lru_cache(maxsize=2)
-def matcher(terms: tuple[str, ...]) -> Matcher:
-    return Matcher(terms)
 
+def quotations(text: str) -> list[tuple[int, int]]:
+    """The spans between quotation marks that belong together, in order and apart from each other.
 
-def features(model: Model, hits: list[tuple[int, int, bool]], words: int) -> np.ndarray:
-    sums = np.zeros(4)
-    for term, edits, in_quotes in hits:
-        sums[2 * in_quotes + (edits > 0)] += (model.fuzzy if edits else model.exact)[term]
+    A mark opens after the start, white space, a bracket or another mark, and closes before the end, white
+    space, punctuation or another mark. Both are in one paragraph, however far apart; a mark inside a word is an apostrophe.
+    """
+    found = []
+    start = 0
+    for paragraph in text.split("\n"):
+        marks = [m.start() for m in MARK.finditer(paragraph)]
+        if len(marks) > 1:
+            own = {paragraph[i] for i in marks}
+            for opening, closing in QUOTES.items():
+                if opening not in own:
+                    continue
+                opened = None
+                for i in marks:
+                    c = paragraph[i]
+                    before, after = paragraph[i - 1 : i] if i else "", paragraph[i + 1 : i + 2]
+                    if opened is not None and c in closing and not (after.isalnum() or after == "_"):
+                        found.append((start + opened, start + i))
+                        opened = None
+                    elif opened is None and c == opening and not (before.isalnum() or before in tuple("_.,;:!?)]}")):
+                        opened = i
+        start += len(paragraph) + 1
+    apart: list[tuple[int, int]] = []
+    for a, b in sorted(found):
+        if apart and a <= apart[-1][1]:
+            apart[-1] = apart[-1][0], max(b, apart[-1][1])
+        else:
+            apart.append((a, b))
+    return apart
+
+
+def features(model: Model, hits: list[tuple[int, int, bool, bool]], words: int) -> np.ndarray:
+    sums, together = np.zeros(4), 0.0
+    for term, edits, in_quotes, close in hits:
+        weight = (model.fuzzy if edits else model.exact)[term]
+        sums[2 * in_quotes + (edits > 0)] += weight
+        together += weight * (close and not in_quotes)
     weight = 100 * (sums[0] + sums[1]) / max(words, 1)
-    return np.array([*np.log1p(sums), math.log1p(weight), 1.0])
+    return np.array([*np.log1p(sums), math.log1p(weight), math.log1p(together), 1.0])
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -212,7 +249,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     examples = []
     for label, hits, words in hits_of(sample, model):
         examples.append((label, hits, words))
-        for term, edits in {(t, e > 0) for t, e, _ in hits}:
+        for term, edits in {(t, e > 0) for t, e, *_ in hits}:
             used.setdefault((term, edits), Counter())[label] += 1
 
     def weight(term: int, edits: bool) -> float:
@@ -246,21 +283,22 @@ def drawn_out(stems: dict[str, tuple[int, float]]) -> list[str]:
     return sorted(out, key=lambda t: (-out[t], t))
 
 
-def hits_of(sample: DataFrame, model: Model) -> list[tuple[int, list[tuple[int, int, bool]], int]]:
+def hits_of(sample: DataFrame, model: Model) -> list[tuple[int, list[tuple[int, int, bool, bool]], int]]:
     """(label, hits, words) of the training documents, of which there are a bounded number."""
     terms = tuple(model.terms)
 
     def run(batches):
+        matches = Matcher(terms)
         for batch in batches:
-            found = [matcher(terms).hits(t.as_py()) for t in batch.column(0)]
-            flat = [[t * 4 + e * 2 + int(q) for t, e, q in hits] for hits, _ in found]
+            found = [matches.hits(t.as_py()) for t in batch.column(0)]
+            flat = [[t * 8 + e * 4 + q * 2 + near for t, e, q, near in hits] for hits, _ in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1), pa.array(flat, pa.list_(pa.int32())), pa.array([n for _, n in found], pa.int32())],
                 ["toxic", "hits", "words"],
             )
 
     rows = sample.select("text", F.col("toxic").cast("int")).mapInArrow(run, "toxic int, hits array<int>, words int")
-    return [(r[0], [(h // 4, h // 2 % 2, bool(h % 2)) for h in r[1]], r[2]) for r in rows.collect()]
+    return [(r[0], [(h // 8, h // 4 % 2, h // 2 % 2 == 1, h % 2 == 1) for h in r[1]], r[2]) for r in rows.collect()]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, pull: float = 1.0) -> np.ndarray:
@@ -282,20 +320,37 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     terms = tuple(model.terms)
     weights = np.array(model.weights)
 
-    def run(batches):
-        for batch in batches:
-            values = []
-            for text in batch.column(0):
-                x = features(model, *matcher(terms).hits(text.as_py()))
-                values.append(float(1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))))
-            columns = [*batch.columns[1:], pa.array(values, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[1:], "score"])
-
     names = [f"c{i}" for i in range(len(docs.columns))]
     plain = docs.toDF(*names)
-    schema = T.StructType([*plain.schema.fields, T.StructField("score", T.DoubleType())])
-    body = plain[names[docs.columns.index("text")]].cast("string").alias("body")
-    return plain.select(body, *names).mapInArrow(run, schema).toDF(*docs.columns, column)
+    at = docs.columns.index("text")
+    if docs.dtypes[at][1] != "string":  # a column of its own only where the text is not one
+        plain = plain.withColumn("body", plain[names[at]].cast("string"))
+        at = len(names)
+
+    def run(batches):
+        matches = Matcher(terms)
+        for batch in batches:
+            for a, b in steps(pc.utf8_length(batch.column(at)).to_pylist()):
+                part = batch.slice(a, b - a)
+                values = []
+                for text in part.column(at):
+                    x = features(model, *matches.hits(text.as_py()))
+                    values.append(float(1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))))
+                columns = [*part.columns[: len(names)], pa.array(values, pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, [*names, "score"])
+
+    schema = T.StructType([*plain.schema.fields[: len(names)], T.StructField("score", T.DoubleType())])
+    return plain.mapInArrow(run, schema).toDF(*docs.columns, column)
+
+
+def steps(sizes: list[int | None]) -> Iterator[tuple[int, int]]:
+    """Cut a batch into runs of STEP_CHARS characters or one text."""
+    start = size = 0
+    for i, n in enumerate(sizes):
+        size += n or 0
+        if size >= STEP_CHARS or i + 1 == len(sizes):
+            yield start, i + 1
+            start, size = i + 1, 0
 
 
 def mark_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -17,13 +17,16 @@ ROWS = [
     (8, "mail bob@mail.example.com or +1 (256) 555-6953, 10.0.0.1", "en", "s2"),
     (9, "the same <|endoftext|> twice  over\r\n日本語 ÄÖ", "de", "s2"),
 ]
-EXTRA = "key long, hash long, body string, digest string, node long, count long, score double, kept boolean, size int"
+EXTRA = (
+    "key long, hash long, body string, digest string, node long, count long, score double, kept boolean, size int, "
+    "_key string, _toxicity double, mask int, part string, bucket int, place long, rank int"
+)
 
 
 @pytest.fixture(scope="module")
 def odd(spark):
     schema = f"doc_id long, text string, lang string, source string, n_chars long, {EXTRA}"
-    rows = [(*r, 0, 1, 2, "x", "y", 3, 4, 0.5, True, 7) for r in ROWS]
+    rows = [(*r, 0, 1, 2, "x", "y", 3, 4, 0.5, True, 7, "keep", 0.25, 8, "z", 9, 10, 11) for r in ROWS]
     return spark.createDataFrame(rows, schema)
 
 

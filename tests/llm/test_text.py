@@ -210,11 +210,33 @@ def swap(word, terms):
     return any((word[:i] + word[i + 1] + word[i] + word[i + 2 :]).startswith(t) for i in range(len(word) - 1) for t in terms)
 
 
+def in_quotes(text, word="zorbfoo"):
+    at = text.index(word)
+    return any(a < at and at + len(word) <= b for a, b in toxicity.quotations(text))
+
+
 def test_quotations():
-    assert toxicity.quoted('he said "you ', ' there" and left')
-    assert toxicity.quoted("er sagte „du ", "“ und ging")
-    assert not toxicity.quoted('"hello" you ', " there")
-    assert not toxicity.quoted("don't you ", " isn't it")
+    assert in_quotes('he said "you zorbfoo there" and left')
+    assert in_quotes("er sagte „du zorbfoo“ und ging") and in_quotes("il dit « zorbfoo » et part")
+    assert not in_quotes('"hello" you zorbfoo " there"')
+    assert not in_quotes("don't you zorbfoo isn't it")
+    # At the start of the text, far away, between two quotations, never closed, over two paragraphs.
+    assert in_quotes('"zorbfoo is bad" he said') and in_quotes("'zorbfoo'")
+    assert in_quotes('"' + "a b " * 50 + "zorbfoo " + "c d " * 50 + 'e" he said')
+    assert not in_quotes('"yes" said the man and zorbfoo "no" said she')
+    assert not in_quotes('he said "you zorbfoo') and not in_quotes('a "b\n zorbfoo" c')
+    assert not in_quotes("the dogs' zorbfoo and the cats' food") and not in_quotes("‘tis a zorbfoo, that ‘ill")
+    assert in_quotes("“a ‘b’ zorbfoo” c") and toxicity.quotations("") == []
+
+
+def test_quoted_terms_at_any_place(spark):
+    df = planted(spark)
+    model = toxicity.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    quoted = ['"blockhead is bad" he said', '"' + "mo ri " * 11 + 'blockhead" he said']
+    used = ['"yes" said the man and blockhead "no" said she', 'blockhead" he said']
+    cases = spark.createDataFrame(list(enumerate(quoted + used)), "doc_id long, text string")
+    scores = [r.score for r in toxicity.score(cases, model).orderBy("doc_id").collect()]
+    assert max(scores[:2]) < toxicity.THRESHOLD <= min(scores[2:]), scores
 
 
 def planted(spark):
@@ -256,7 +278,7 @@ def test_held_out_accuracy(spark):
         spark.read.parquet(f"{folder}/labels.parquet"), "doc_id"
     ).select("predicted", "toxic").collect()
     right = sum(r.predicted and r.toxic for r in rows)
-    assert right / sum(r.predicted for r in rows) > 0.9 and right / sum(r.toxic for r in rows) > 0.85
+    assert right / sum(r.predicted for r in rows) > 0.9 and right / sum(r.toxic for r in rows) >= 0.9
 
 
 def test_toxicity_of_odd_rows(spark, odd, empty):
