@@ -29,7 +29,7 @@ SHARD_PAIRS = 1 << 20
 #: Up to so many pairs (17 bytes each) the table goes to all tasks; beyond it, the texts' pairs go to the shards.
 BROADCAST_PAIRS = 2_000_000
 #: Characters of aligned chunks that a worker holds, and of texts that are aligned in one step.
-CHUNK_CHARS = 1_500_000
+CHUNK_CHARS = 3_000_000
 STEP_CHARS = 2_000_000
 #: Slots of a level of the hash for each key that is left.
 SPARE = 1.5
@@ -37,6 +37,9 @@ SPARE = 1.5
 SPACE_MARK = "▁"
 #: Neither tokenizer has a token over a space between another character and a letter, digit or underscore.
 CUT = re.compile(rf"(?<=[^ {SPACE_MARK}]) (?=\w)")
+#: Chunks that such a space can stand on both sides of; TOGETHER of them are encoded at once.
+INNER = re.compile(rf"\w[^{SPACE_MARK}]*(?<! )", re.DOTALL)
+TOGETHER = 2000
 SEEDS = mix(np.arange(1, 129, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -132,10 +135,40 @@ class Tokens:
         """The text in pieces that can be encoded one by one, each after a space."""
         return CUT.split(text) if self.by_words else [text]
 
-    def encode(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]], list[bytes]]:
-        raw = [" " + c for c in chunks]
-        a = [e.ids for e in self.a.encode_batch(raw, add_special_tokens=False)]
-        return a, self.b.encode(chunks, num_threads=1), [r.encode() for r in raw]
+    def encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens of A and of B of all chunks, how many each chunk has, and whether its bytes come back; a chunk
+        whose bytes do not has no tokens.
+
+        Chunks that may follow each other in a text are encoded many at a time, as one text; their bytes tell
+        them apart again.
+        """
+        raw = [(" " + c).encode() for c in chunks]
+        a, b = [None] * len(chunks), [None] * len(chunks)
+        inner = [i for i, c in enumerate(chunks) if self.by_words and INNER.fullmatch(c)]
+        for at in range(0, len(inner), TOGETHER):
+            part = inner[at : at + TOGETHER]
+            ends = np.cumsum([len(raw[i]) for i in part])
+            text = " ".join([chunks[i] for i in part])
+            sides = self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)
+            sides = [np.array(ids, np.int64) for ids in sides]
+            if any(b"".join(map(known.__getitem__, ids.tolist())) != b"".join([raw[i] for i in part])
+                   for known, ids in zip((self.bytes_a, self.bytes_b), sides)):
+                continue  # one by one
+            for out, ids, lengths in zip((a, b), sides, (self.lengths_a, self.lengths_b)):
+                cuts = np.searchsorted(np.cumsum(lengths[ids]), ends, side="right").tolist()
+                for i, x, y in zip(part, [0, *cuts], cuts):
+                    out[i] = ids[x:y]
+        rest = [i for i, ids in enumerate(a) if ids is None]
+        if rest:
+            alone = self.a.encode_batch([" " + chunks[i] for i in rest], add_special_tokens=False)
+            others = self.b.encode([chunks[i] for i in rest], num_threads=1)
+            for i, ids, pieces in zip(rest, alone, others):
+                fits = all(
+                    b"".join(map(known.__getitem__, x)) == raw[i] for known, x in ((self.bytes_a, ids.ids), (self.bytes_b, pieces))
+                )
+                a[i], b[i] = (np.array(x if fits else [], np.int64) for x in (ids.ids, pieces))
+        n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(ids)) for ids in (a, b))
+        return np.concatenate(a), np.concatenate(b), n_a, n_b, n_a > 0
 
 
 def byte_letters() -> dict[str, int]:
@@ -154,8 +187,14 @@ def groups_of(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.nd
 class Aligner:
     """Aligned chunks of one worker, and their sums under a table of pair counts."""
 
-    def __init__(self, tokens: Tokens, look_up: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]] | None = None):
-        self.tokens, self.look_up = tokens, look_up
+    def __init__(
+        self,
+        tokens: Tokens,
+        look_up: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]] | None = None,
+        *,
+        written: bool = True,
+    ):
+        self.tokens, self.look_up, self.written = tokens, look_up, written
         self.clear()
 
     def clear(self) -> None:
@@ -169,55 +208,42 @@ class Aligner:
     def learn(self, chunks: list[str]) -> None:
         if self.chars > CHUNK_CHARS:
             self.clear()
-        new = [c for c in dict.fromkeys(chunks) if c not in self.known]
+        new = list(set(chunks) - self.known.keys())
         if not new:
             return
-        ids_a, ids_b, raw = self.tokens.encode(new)
-        bytes_a, bytes_b, first = self.tokens.bytes_a, self.tokens.bytes_b, len(self.text)
-        sums = np.zeros((len(new), 7), np.int64)
-        for i, (chunk, a, b, r) in enumerate(zip(new, ids_a, ids_b, raw)):
-            self.known[chunk] = first + i
-            sums[i, 0] = b"".join(map(bytes_a.__getitem__, a)) == r and b"".join(map(bytes_b.__getitem__, b)) == r
-            if not sums[i, 0]:  # the text has no tokens, so the chunk's do not matter
-                ids_a[i], ids_b[i] = [], []
-        whole = np.flatnonzero(sums[:, 0]).tolist()
+        self.known.update(zip(new, range(len(self.sums), len(self.sums) + len(new))))
+        flat_a, flat_b, n_a, n_b, fits = self.tokens.encode(new)
         # Chunks end where tokens of both end, so one alignment of all of them gives that of each.
-        flat_a = np.array([x for ids in ids_a for x in ids], np.int64)
-        flat_b = np.array([x for ids in ids_b for x in ids], np.int64)
         cuts, group_a, group_b = groups_of(
             np.cumsum(self.tokens.lengths_a[flat_a]), np.cumsum(self.tokens.lengths_b[flat_b])
         )
         count_a, count_b = np.bincount(group_a, minlength=len(cuts)), np.bincount(group_b, minlength=len(cuts))
-        start_b = np.cumsum(count_b) - count_b
-        size = np.array([len(r) if ok else 0 for r, ok in zip(raw, sums[:, 0])])
-        last = np.searchsorted(cuts, np.cumsum(size), side="right")  # groups up to and with each chunk
-        last_a, last_b = np.cumsum([len(x) for x in ids_a]), np.cumsum([len(x) for x in ids_b])
-        written_a, written_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
-        start_a = (np.cumsum(count_a) - count_a).tolist()
-        ends = zip(start_a, count_a.tolist(), start_b.tolist(), count_b.tolist())
-        texts = [f"{','.join(written_a[x : x + m])}|{','.join(written_b[y : y + n])}" for x, m, y, n in ends]
-        links = np.concatenate([[0], np.cumsum(count_a * count_b)])
-        texts_of, keys_of = [""] * len(new), [np.empty(0, np.uint64)] * len(new)
-        begin = np.concatenate([[0], last[:-1]])
-        for i in whole:
-            g, h = int(begin[i]), int(last[i])
-            a0 = int(last_a[i]) - len(ids_a[i])
-            in_chunk = group_a[a0 : int(last_a[i])]
-            times = count_b[in_chunk]
-            # Each token of A with all tokens of B in its group.
-            first_b = np.repeat(start_b[in_chunk] - (np.cumsum(times) - times), times)
-            partner = flat_b[first_b + np.arange(int(times.sum()))]
-            keys_of[i] = (np.repeat(flat_a[a0 : int(last_a[i])], times) * self.tokens.width + partner).astype(np.uint64)
-            texts_of[i] = ";".join(texts[g:h])
-            sums[i, 1:5] = len(ids_a[i]), len(ids_b[i]), h - g, links[h] - links[g]
-        if self.look_up is not None and whole:
-            counts, best = self.look_up(np.concatenate([keys_of[i] for i in whole]))
-            at = np.concatenate([[0], np.cumsum([len(keys_of[i]) for i in whole])])
+        begin_a, begin_b = np.cumsum(count_a) - count_a, np.cumsum(count_b) - count_b
+        # Each token of A with all tokens of B in its group.
+        times = count_b[group_a]
+        place = np.concatenate([[0], np.cumsum(times)])
+        partner = flat_b[np.repeat(begin_b[group_a] - place[:-1], times) + np.arange(place[-1])]
+        keys = (np.repeat(flat_a, times) * self.tokens.width + partner).astype(np.uint64)
+        last_a = np.cumsum(n_a)
+        last = np.searchsorted(begin_a, last_a)  # groups up to and with each chunk
+        links = place[last_a]
+        sums = np.zeros((len(new), 7), np.int64)
+        sums[:, 0], sums[:, 1], sums[:, 2] = fits, n_a, n_b
+        sums[:, 3], sums[:, 4] = np.diff(last, prepend=0), np.diff(links, prepend=0)
+        if self.look_up is not None:
+            counts, best = self.look_up(keys)
             for column, values in ((5, best), (6, counts)):
                 total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
-                sums[whole, column] = total[at[1:]] - total[at[:-1]]
-        self.text += texts_of
-        self.keys += keys_of
+                sums[:, column] = np.diff(total[links], prepend=0)
+        if self.written:
+            ids_a, ids_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
+            spans = zip(begin_a.tolist(), count_a.tolist(), begin_b.tolist(), count_b.tolist())
+            groups = [f"{','.join(ids_a[x : x + m])}|{','.join(ids_b[y : y + n])}" for x, m, y, n in spans]
+            ends = last.tolist()
+            self.text += [";".join(groups[x:y]) for x, y in zip([0, *ends], ends)]
+        if self.look_up is None:
+            ends = links.tolist()
+            self.keys += [keys[x:y] for x, y in zip([0, *ends], ends)]
         self.sums = np.concatenate([self.sums, sums])
         self.chars += sum(map(len, new))
 
@@ -288,9 +314,7 @@ class Shards:
 
 
 def checked(values: np.ndarray, slots: np.ndarray) -> np.ndarray:
-    if len(slots) and slots.min() < 0:
-        raise ValueError("a pair is not in the table: the texts changed between two passes")
-    return values[slots]
+    return values[known_slots(slots)]
 
 
 def best_pairs(keys: np.ndarray, counts: np.ndarray, width: int) -> np.ndarray:
@@ -367,21 +391,16 @@ def tree_sum(vectors: DataFrame) -> DataFrame:
         for key, rows in runs(batches, 2):
             if key != current:
                 if current is not None:
-                    yield row(current, total)
+                    yield vector_row(*current, total)
                 current, total = key, 0
             for (vector,) in rows:
                 total = total + unpack(vector)
         if current is not None:
-            yield row(current, total)
+            yield vector_row(*current, total)
 
-    def row(key, total):
-        columns = [pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([pack(total)], pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, ["shard", "branch", "vector"])
-
-    schema = "shard int, branch int, vector binary"
     for branch in (F.col("branch"), F.lit(0)):
         vectors = vectors.select("shard", branch.alias("branch"), "vector")
-        vectors = vectors.repartition("shard", "branch").sortWithinPartitions("shard", "branch").mapInArrow(add, schema)
+        vectors = vectors.repartition("shard", "branch").sortWithinPartitions("shard", "branch").mapInArrow(add, VECTORS)
     return vectors.select("shard", "vector")
 
 
@@ -402,60 +421,87 @@ def align(docs: DataFrame, path_a: str, path_b: str, *, broadcast_pairs: int = B
     shard's work at most lying in one task, and their sums come back.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col("text").cast("string"))
+    blocks = saved(linked_blocks(docs.select(F.col("text").cast("string")), path_a, path_b), "linked")
 
     def distinct_pairs(batches):
-        aligner = Aligner(tokens_of(path_a, path_b))
         for batch in batches:
-            bodies = batch.column(0).to_pylist()
-            for a, b in steps(bodies):
-                places = {p for _, found in aligner.documents(bodies[a:b]) for p in found}
-                keys, _ = aligner.linked(list(places))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64))], ["key"])
+            for i in range(batch.num_rows):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(batch.column(0)[i].as_buffer(), np.int64))], ["key"])
 
-    keys, n_pairs = saved_rows(texts.mapInArrow(distinct_pairs, "key long").distinct(), "link_pairs")
+    keys, n_pairs = saved_rows(blocks.select("some").mapInArrow(distinct_pairs, "key long").distinct(), "link_pairs")
     width = tokens_of(path_a, path_b).width
     shards = max(1, -(-n_pairs // SHARD_PAIRS))
     index = saved(hashed(keys, width, shards), "link_hash")
     if n_pairs <= broadcast_pairs:
-        vectors = counted_at_texts(texts, index, path_a, path_b, width)
+        vectors = counted_at_blocks(blocks, index, width)
     else:
-        vectors = counted_at_shards(texts, index, path_a, path_b, width, shards)
+        vectors = counted_at_shards(blocks, index, width, shards)
     table = saved(with_best(index, tree_sum(vectors), width), "link_counts")
     if n_pairs <= broadcast_pairs:
         return looked_up_at_texts(spark, docs, table, path_a, path_b, width)
     return looked_up_at_shards(docs, table, path_a, path_b, width, shards)
 
 
+def linked_blocks(texts: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    """(``some``, ``times``): the distinct pairs of a step of texts, and how many of its texts link each."""
+
+    def run(batches):
+        aligner = Aligner(tokens_of(path_a, path_b), written=False)
+        for batch in batches:
+            bodies = batch.column(0).to_pylist()
+            for a, b in steps(bodies):
+                # The pairs of a document are distinct, those of several are not.
+                found = [aligner.linked(places)[0] for _, places in aligner.documents(bodies[a:b])]
+                keys, times = np.unique(np.concatenate(found), return_counts=True)
+                if len(keys):
+                    columns = [pa.array([keys.tobytes()], pa.binary()), pa.array([times.astype("<i4").tobytes()], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, ["some", "times"])
+
+    return texts.mapInArrow(run, "some binary, times binary")
+
+
 def collected(table: DataFrame) -> list[dict]:
     """The rows of a table whose size has been checked, by shard."""
     return [r.asDict() for r in table.orderBy("shard").collect()]
 
 
-def counted_at_texts(texts: DataFrame, index: DataFrame, path_a: str, path_b: str, width: int) -> DataFrame:
+def pairs_of(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for i in range(batch.num_rows):
+        some, times = (batch.column(c)[i].as_buffer() for c in ("some", "times"))
+        yield np.frombuffer(some, np.uint64), np.frombuffer(times, "<i4")
+
+
+def counted_at_blocks(blocks: DataFrame, index: DataFrame, width: int) -> DataFrame:
     """(``shard``, ``branch``, ``vector``): for each task and shard the documents of each pair."""
-    sent = texts.sparkSession.sparkContext.broadcast(collected(index))
+    sent = blocks.sparkSession.sparkContext.broadcast(collected(index))
 
     def count(batches):
         shards = Shards(sent.value, width)
         vectors = [np.zeros(len(h.keys), np.int64) for h in shards.hashes]
-        aligner = Aligner(tokens_of(path_a, path_b))
         for batch in batches:
-            bodies = batch.column(0).to_pylist()
-            for a, b in steps(bodies):
-                # The pairs of a document are distinct, those of several are not.
-                found = [aligner.linked(places)[0] for _, places in aligner.documents(bodies[a:b])]
-                for s, _, slots in shards.slots(np.concatenate(found)):
-                    if slots.min() < 0:
-                        raise ValueError("a pair is not in the table: the texts changed between two passes")
-                    vectors[s] += np.bincount(slots, minlength=len(vectors[s]))
+            for keys, times in pairs_of(batch):
+                for s, at, slots in shards.slots(keys):
+                    vectors[s][known_slots(slots)] += times[at]
         branch = TaskContext.get().partitionId() % 32
         for s, vector in enumerate(vectors):
             if vector.any():
-                columns = [pa.array([s], pa.int32()), pa.array([branch], pa.int32()), pa.array([pack(vector)], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["shard", "branch", "vector"])
+                yield vector_row(s, branch, vector)
+
+    return blocks.mapInArrow(count, VECTORS)
+
+
+VECTORS = "shard int, branch int, vector binary"
+
 
-    return texts.mapInArrow(count, "shard int, branch int, vector binary")
+def vector_row(shard: int, branch: int, vector: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array([shard], pa.int32()), pa.array([branch], pa.int32()), pa.array([pack(vector)], pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["shard", "branch", "vector"])
+
+
+def known_slots(slots: np.ndarray) -> np.ndarray:
+    if len(slots) and slots.min() < 0:
+        raise ValueError("a pair is not in the table: the texts changed between two passes")
+    return slots
 
 
 def branches(df: DataFrame, shards: int) -> int:
@@ -470,32 +516,24 @@ def at_shards(rows: DataFrame, table: DataFrame, n: int) -> DataFrame:
     return both.repartition("shard", "branch").sortWithinPartitions("shard", "branch", F.desc("first"))
 
 
-def counted_at_shards(
-    texts: DataFrame, index: DataFrame, path_a: str, path_b: str, width: int, shards: int
-) -> DataFrame:
-    """As ``counted_at_texts``, with the texts' pairs sent to their shards, added up for a step of texts."""
-    n = branches(texts, shards)
+def counted_at_shards(blocks: DataFrame, index: DataFrame, width: int, shards: int) -> DataFrame:
+    """As ``counted_at_blocks``, with the pairs of each block sent to their shards."""
+    n = branches(blocks, shards)
 
     def ship(batches):
-        aligner = Aligner(tokens_of(path_a, path_b))
         for batch in batches:
-            bodies = batch.column(0).to_pylist()
-            for a, b in steps(bodies):
-                found = [aligner.linked(places)[0] for _, places in aligner.documents(bodies[a:b])]
-                keys, counts = np.unique(np.concatenate(found), return_counts=True)
+            for keys, times in pairs_of(batch):
                 shard = shard_of(keys, width, shards)
                 out = []
                 for s in np.unique(shard).tolist():
                     part = shard == s
-                    branch = zlib.crc32(keys[part].tobytes()) % n
-                    out.append((s, branch, keys[part].tobytes(), counts[part].astype(np.int64).tobytes()))
+                    out.append((s, zlib.crc32(keys[part].tobytes()) % n, keys[part].tobytes(), times[part].tobytes()))
+                kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.int32())]
-                    + [pa.array([o[i] for o in out], pa.binary()) for i in (2, 3)],
-                    ["shard", "branch", "some", "times"],
+                    [pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["shard", "branch", "some", "times"]
                 )
 
-    rows = texts.mapInArrow(ship, "shard int, branch int, some binary, times binary")
+    rows = blocks.mapInArrow(ship, "shard int, branch int, some binary, times binary")
 
     def count(batches):
         current = found = vector = None
@@ -503,23 +541,16 @@ def counted_at_shards(
             for sizes, words, keys, some, times in held:
                 if sizes is not None:
                     if current is not None and vector.any():
-                        yield row(current, vector)
+                        yield vector_row(*current, vector)
                     current, found = key, PerfectHash.of(sizes, words, keys)
                     vector = np.zeros(len(found.keys), np.int64)
                 else:
-                    slots = found.slots(np.frombuffer(some, np.uint64))
-                    if slots.min() < 0:
-                        raise ValueError("a pair is not in the table: the texts changed between two passes")
-                    vector[slots] += np.frombuffer(times, np.int64)
+                    vector[known_slots(found.slots(np.frombuffer(some, np.uint64)))] += np.frombuffer(times, "<i4")
         if current is not None and vector.any():
-            yield row(current, vector)
-
-    def row(key, vector):
-        columns = [pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([pack(vector)], pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, ["shard", "branch", "vector"])
+            yield vector_row(*current, vector)
 
     ordered = at_shards(rows, index, n).select("shard", "branch", "sizes", "words", "keys", "some", "times")
-    return ordered.mapInArrow(count, "shard int, branch int, vector binary")
+    return ordered.mapInArrow(count, VECTORS)
 
 
 def with_best(index: DataFrame, sums: DataFrame, width: int) -> DataFrame:
