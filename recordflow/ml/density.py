@@ -1,4 +1,4 @@
-"""Density clustering of low-dimensional points (DBSCAN*, and a discretised HDBSCAN*).
+"""Density clustering of low-dimensional points at one radius (DBSCAN*).
 
 A point is a core point when at least ``min_pts`` points, itself included, lie within ``eps``.
 Core points within ``eps`` of each other share a cluster; all other points are noise (Campello et
@@ -27,10 +27,9 @@ from operator import add
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recordflow.ml.components import connected_components
-from recordflow.operators.lookups import BROADCAST_ROWS, lookup, saved, saved_rows
-from recordflow.operators.shaping import with_row_id
+from recordflow.operators.lookups import lookup, saved, saved_rows
 
-NOISE = -1
+#: Neighbour cells grow with a power of the dimensions; ``hierarchy`` takes any number of them.
 MAX_DIMS = 3
 MAX_DEPTH = 40
 
@@ -364,199 +363,3 @@ def dbscan_star(
     labels = label_points(placed, cells, core_points, grid)
     nowhere = unplaced.select("id", F.lit(None).cast(dict(labels.dtypes)["cluster"]).alias("cluster"))
     return labels.union(nowhere).withColumnRenamed("id", id_name)
-
-
-@dataclass(frozen=True)
-class Hierarchy:
-    """Chosen clusters of a ladder of radii.
-
-    ``labels``: (id, cluster) for all points, ``-1`` for noise. ``exemplars``: one core position
-    per cell of a chosen cluster, (level, eps, cluster, e0..).
-    """
-
-    labels: DataFrame
-    exemplars: DataFrame
-    levels: list[tuple[int, float]]
-
-
-def spread(points: DataFrame, dims: int, coords: str = "coords") -> float:
-    """Square root of the total variance of the positions."""
-    parts = [F.var_pop(F.get(F.col(coords), F.lit(i))) for i in range(dims)]
-    total = points.agg(reduce(add, parts).alias("v")).first()["v"]
-    return math.sqrt(total or 0.0)
-
-
-def hierarchy(
-    points: DataFrame,
-    *,
-    dims: int,
-    eps: float | None = None,
-    levels: int = 6,
-    min_pts: int = 5,
-    min_cluster_size: int = 5,
-    id_name: str = "id",
-    coords: str = "coords",
-) -> Hierarchy:
-    """Discretised HDBSCAN*: clusters at ``eps, eps/2, eps/4, ..`` chosen by excess of mass.
-
-    Clusters of one radius lie within those of the next larger one, which gives the cluster tree.
-    A cluster lives from the radius where it splits off to the one where it splits or dies; its
-    stability is the sum over its points of the density range in which they belong to it. A point
-    within ``eps/2`` of a core point for ``eps/2`` is a core point for ``eps``, so each radius only
-    needs the core points of the one before.
-    """
-    base = eps if eps is not None else spread(points, dims, coords) / 2 or 1.0
-    ladder = [(level, base / 2.0**level) for level in range(levels)]
-    placed, unplaced = positions(points, Grid(dims, base), id_name, coords)
-    members, cells_at, nodes_at = [], [], []
-    current = placed.withColumn("parent", F.lit(None).cast(dict(placed.dtypes)["id"]))
-    for level, radius in ladder:
-        grid = Grid(dims, radius)
-        current = saved(current.select("id", *grid.names("x"), "parent").select("*", *grid.cell()), "level")
-        cells, core_points = core_labels(current, grid, min_pts)
-        labels = label_points(current, cells, core_points, grid).filter("cluster is not null")
-        kept = saved(
-            current.select("id", *grid.names("x"), "parent").join(labels, "id").withColumn("level", F.lit(level)),
-            "kept",
-        )
-        nodes = kept.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.min("parent").alias("parent"))
-        nodes_at.append(saved(nodes.filter(F.col("size") >= min_cluster_size), "nodes"))
-        members.append(kept)
-        cells_at.append(cells)
-        current = kept.drop("parent", "level").withColumnRenamed("cluster", "parent")
-    chosen = _choose(nodes_at, ladder)
-
-    labels, exemplars = [], []
-    for (level, radius), kept, cells in zip(ladder, members, cells_at):
-        names = chosen.filter(F.col("level") == level).select("cluster", "label")
-        labels.append(lookup(kept.select("id", "cluster"), names, ["cluster"], "inner").select("id", "label"))
-        exemplars.append(
-            lookup(cells.select("cluster", "first"), names, ["cluster"], "inner").select(
-                F.lit(level).alias("level"),
-                F.lit(radius).alias("eps"),
-                F.col("label").alias("cluster"),
-                *[F.col(f"first.x{i}").alias(f"e{i}") for i in range(dims)],
-            )
-        )
-    found = reduce(DataFrame.union, labels)
-    everyone = placed.select("id").union(unplaced.select("id"))
-    labelled = everyone.join(found, "id", "left").select(
-        F.col("id").alias(id_name), F.coalesce("label", F.lit(NOISE)).cast("bigint").alias("cluster")
-    )
-    return Hierarchy(saved(labelled, "labels"), saved(reduce(DataFrame.union, exemplars), "exemplars"), ladder)
-
-
-def _choose(nodes_at: list[DataFrame], ladder: list[tuple[int, float]]) -> DataFrame:
-    """(level, cluster, label) of the clusters of greatest total stability."""
-    scored_at: list[DataFrame] = []
-    below = None
-    for (_, radius), nodes in reversed(list(zip(ladder, nodes_at))):
-        # Density range from the next larger radius to this one; the first starts at zero.
-        top = radius == ladder[0][1]
-        weight = F.col("size") * F.lit(1 / radius - (0.0 if top else 1 / (2 * radius)))
-        if below is None:
-            scored = nodes.select("*", weight.alias("own"), F.lit(0.0).alias("under"), F.lit(0).alias("splits"))
-        else:
-            children = below.groupBy(F.col("parent").alias("cluster")).agg(
-                F.count(F.lit(1)).alias("splits"),
-                F.sum(F.greatest("own", "under")).alias("best"),
-                F.max("own").alias("child_own"),
-                F.max("under").alias("child_under"),
-            )
-            met = nodes.join(children, "cluster", "left").fillna(0, ["splits", "best", "child_own", "child_under"])
-            single = F.col("splits") == 1
-            scored = met.select(
-                "cluster",
-                "size",
-                "parent",
-                (weight + F.when(single, F.col("child_own")).otherwise(0.0)).alias("own"),
-                F.when(single, F.col("child_under")).otherwise(F.col("best")).alias("under"),
-                F.col("splits").cast("int").alias("splits"),
-            )
-        below = saved(scored, "scored")
-        scored_at.insert(0, below)
-
-    picks, state = [], None
-    for (level, _), scored in zip(ladder, scored_at):
-        better = F.col("own") >= F.col("under")
-        if state is None:
-            picked = scored.withColumn("taken", F.lit(False)).withColumn("pick", better)
-        else:
-            above = state.select(
-                F.col("cluster").alias("parent"),
-                (F.col("taken") | F.col("pick")).alias("taken"),
-                (F.col("splits") >= 2).alias("fresh"),
-            )
-            picked = scored.join(above, "parent", "left").withColumn(
-                "taken", F.coalesce("taken", F.lit(False))
-            ).withColumn("pick", ~F.col("taken") & F.coalesce("fresh", F.lit(True)) & better)
-        state = saved(picked.select("cluster", "splits", "taken", "pick"), "state")
-        picks.append(state.filter("pick").select(F.lit(level).alias("level"), "cluster"))
-    every = reduce(DataFrame.union, picks)
-    return saved(with_row_id(every, "label", order_by=["cluster"]), "chosen")
-
-
-def exemplar_index(exemplars: DataFrame, dims: int) -> DataFrame:
-    """(level, eps, g0.., near): the exemplars in reach of each block of side ``eps``.
-
-    A block sees its 3**dims neighbours with a fixed number of cells each, so the lists are short
-    whatever the number of points was.
-    """
-    blocks = [F.floor(F.col(f"e{i}") / F.col("eps")).cast("bigint") for i in range(dims)]
-    around = F.array(
-        *[
-            F.struct(*[(b + F.lit(o)).alias(f"g{i}") for i, (b, o) in enumerate(zip(blocks, offset))])
-            for offset in itertools.product((-1, 0, 1), repeat=dims)
-        ]
-    )
-    item = F.struct(*[f"e{i}" for i in range(dims)], "cluster").alias("item")
-    spread_out = exemplars.select("level", "eps", item, F.inline(around))
-    return spread_out.groupBy("level", "eps", *[f"g{i}" for i in range(dims)]).agg(
-        F.collect_list("item").alias("near")
-    )
-
-
-def predict(
-    rows: DataFrame,
-    index: DataFrame,
-    levels: list[tuple[int, float]],
-    dims: int,
-    *,
-    coords: str = "coords",
-    out: str = "cluster",
-    entries: int,
-) -> DataFrame:
-    """Add the cluster of the nearest exemplar within its radius, ``-1`` when there is none.
-
-    One output row per input row, no state and no aggregation, so it serves streams as well.
-    Rows without finite coordinates get NULL. ``entries`` is the number of exemplars in the index.
-    """
-    columns = rows.columns
-    at = [F.get(F.col(coords), F.lit(i)).cast("double") for i in range(dims)]
-    finite = reduce(lambda a, b: a & b, [a.isNotNull() & (F.abs(a) < F.lit(1e300)) for a in at])
-    best = []
-    for level, radius in levels:
-        blocks = [
-            F.when(finite, F.floor(a / F.lit(radius)).try_cast("bigint")).alias(f"g{i}")
-            for i, a in enumerate(at)
-        ]
-        near = index.filter(F.col("level") == level).select(
-            *[f"g{i}" for i in range(dims)], F.col("near").alias(f"_near{level}")
-        )
-        keys = [f"g{i}" for i in range(dims)]
-        rows = lookup(rows.select("*", *blocks), near, keys, entries=entries).drop(*keys)
-        if entries > BROADCAST_ROWS:  # a split lookup names its input three times
-            rows = saved(rows, "predicted")
-
-        def reach(item: Column) -> Column:
-            gap = reduce(add, [(a - item[f"e{i}"]) * (a - item[f"e{i}"]) for i, a in enumerate(at)])
-            return F.struct(gap.alias("gap"), item["cluster"].alias("cluster"))
-
-        within = F.filter(
-            F.transform(F.col(f"_near{level}"), reach), lambda x: x["gap"] <= F.lit(radius * radius)
-        )
-        best.append(F.array_min(within))
-    # Nulls sort last in least(), so the nearest of all radii wins.
-    nearest = best[0] if len(best) == 1 else F.least(*best)
-    label = F.when(finite, F.coalesce(nearest["cluster"], F.lit(NOISE).cast("bigint")))
-    return rows.select(*columns, label.alias(out))

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import types as T
+
 from recordflow.operators.features import PUBLISHED_AMOUNT_MEAN, PUBLISHED_AMOUNT_STD
+from recordflow.plans import hierarchy_sql
+from recordflow.schemas import BATCH_TARGET, STREAM_TARGET
 
 MESSAGES = """
 parts AS (
@@ -194,6 +198,34 @@ _KEPT = """list_filter(json_keys(payload), lambda k: NOT (contains(k, 'Id') OR c
   OR k IN ('ForecastCategory', 'IsClosed', 'IsWon', 'Fiscal'))
   AND json_extract_string(payload, '$.' || k) IS NOT NULL)"""
 
+# A rejected record as JSON text: its members in the order of their names.
+_MEMBERS = "Amount Fiscal ForecastCategory Id IsClosed IsWon OwnerId StageName Type Zeta__x".split()
+_PAYLOAD_TEXT = "'{' || concat_ws(',', " + ", ".join(
+    f"'\"{m}\":' || (checked.payload->'$.{m}')::VARCHAR" for m in _MEMBERS
+) + ") || '}'"
+
+
+def _event_columns() -> str:
+    """Every column of the stream target, read from ``payload``."""
+    def column(f: T.StructField) -> str:
+        path = f"checked.payload->>'$.{f.name}'"
+        if isinstance(f.dataType, T.StructType):
+            return f"(checked.payload->'$.{f.name}')::VARCHAR AS \"{f.name}\""
+        kind = {"bigint": "BIGINT", "boolean": "BOOLEAN"}.get(f.dataType.simpleString(), "VARCHAR")
+        return f"({path})::{kind} AS \"{f.name}\""
+
+    return ", ".join(map(column, STREAM_TARGET.fields))
+
+
+def _batch_columns() -> str:
+    """Every column of the batch target; the extract has a few of them."""
+    known = {
+        "Id": "Id", "Amount": "Amount::VARCHAR", "StageName": "Stage", "IsWon": "IsWon::VARCHAR",
+        "IsClosed": "IsClosed::VARCHAR", "Name": "ProductFamily", "CreatedDate": "strftime(CreatedDate, '%Y-%m-%d %H:%M:%S')",
+    }
+    return ", ".join(f"{known.get(f.name, 'NULL::VARCHAR')} AS \"{f.name}\"" for f in BATCH_TARGET.fields)
+
+
 ORACLES = {
     "route_messages": f"""WITH {MESSAGES} SELECT event_id,
         CASE WHEN error_message IS NULL THEN 'good' ELSE 'failed' END AS route, error_message,
@@ -210,21 +242,26 @@ ORACLES = {
     "dead_letter_rows": f"""WITH {MESSAGES} SELECT strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS stamp,
         value AS payload_string, hex(encode(value)) AS payload_hex, 0 AS n_attributes, error_message,
         NULL::VARCHAR AS stacktrace FROM routed WHERE error_message IS NOT NULL""",
-    "conform_ignore": f"""WITH {MESSAGES} SELECT payload->>'$.Id' AS id, payload->>'$.OwnerId' AS owner,
-        payload->>'$.Type' AS type, payload->>'$.StageName' AS stage,
-        (payload->>'$.Amount')::BIGINT AS amount, (payload->>'$.IsWon')::BOOLEAN AS is_won,
-        (payload->>'$.IsClosed')::BOOLEAN AS is_closed, payload->>'$.Fiscal.Quarter' AS quarter
-        {_GOOD_ROWS}""",
+    "conform_ignore": f"""WITH {MESSAGES} SELECT {_event_columns()} {_GOOD_ROWS}""",
     "conform_reject": f"""WITH {MESSAGES} SELECT event_id, concat_ws('; ', c2, c1, c3) AS error_message
         FROM checked WHERE c1 IS NOT NULL OR c2 IS NOT NULL OR c3 IS NOT NULL""",
     "union_errors": f"""WITH {MESSAGES} SELECT event_id, error_message FROM routed
         WHERE error_message IS NOT NULL UNION ALL
         SELECT event_id, {_CHECK} FROM checked WHERE c1 IS NOT NULL OR c2 IS NOT NULL""",
-    "batch_append": f"""WITH {OPPORTUNITY} SELECT Id AS id, Amount::VARCHAR AS amount, Stage AS stage,
-        IsWon::VARCHAR AS is_won, ProductFamily AS name,
-        strftime(CreatedDate, '%Y-%m-%d %H:%M:%S') AS created FROM opportunity""",
-    "stream_ingest": f"""WITH {MESSAGES} SELECT payload->>'$.Id' AS id,
-        (payload->>'$.Amount')::BIGINT AS amount, payload->>'$.Type' AS type
+    "batch_append": f"""WITH {OPPORTUNITY} SELECT {_batch_columns()} FROM opportunity""",
+    "batch_job": f"""WITH {OPPORTUNITY} SELECT Id AS "Id", Stage AS "StageName", Amount::VARCHAR AS "Amount",
+        IsWon::VARCHAR AS "IsClosed", NULL::VARCHAR AS "IsWon" FROM opportunity WHERE Amount > 50000
+        AND CreatedDate >= TIMESTAMP '1994-01-01' AND CreatedDate < TIMESTAMP '1997-01-01'""",
+    "json_lines_scan": """WITH lines AS (
+          SELECT [1, 2, 4, 5, 6][c_custkey % 5 + 1] AS number, c_name,
+            CASE WHEN c_custkey % 50 = 3 THEN 'not a JSON object: ' || left('{"Id":' || c_custkey || ',"Name":"' || c_name, 10)
+            END AS error FROM customer)
+        SELECT number, 'record' AS kind, CASE WHEN error IS NULL THEN c_name END AS name, error AS status, 1 AS records
+        FROM lines
+        UNION ALL SELECT number, 'file', NULL, CASE WHEN count(error) > 0 THEN 'corrupt' ELSE 'read' END,
+          count(*) * 1000 + count(error) FROM lines GROUP BY number
+        UNION ALL SELECT 3, 'file', NULL, 'missing', 0""",
+    "stream_ingest": f"""WITH {MESSAGES} SELECT {_event_columns()}
         FROM checked JOIN docs USING (event_id) WHERE c1 IS NULL AND c2 IS NULL
         AND coalesce(doc->>'$.event.type', 'created') IN ('created', 'updated', 'deleted')""",
     "stream_two_feeds": f"""WITH {MESSAGES},
@@ -236,6 +273,23 @@ ORACLES = {
         UNION ALL SELECT NULL, error_message FROM kept WHERE error_message IS NOT NULL
         UNION ALL SELECT NULL, {_CHECK} FROM checked JOIN kept USING (event_id)
         WHERE c1 IS NOT NULL OR c2 IS NOT NULL""",
+    "stream_replay": f"""WITH {MESSAGES},
+        kept AS (SELECT * FROM routed
+          WHERE coalesce(doc->>'$.event.type', 'created') IN ('created', 'updated', 'deleted'))
+        SELECT payload->>'$.Id' AS id, NULL::VARCHAR AS error_message FROM checked JOIN docs USING (event_id)
+        WHERE c1 IS NULL AND c2 IS NULL
+        AND coalesce(doc->>'$.event.type', 'created') IN ('created', 'updated', 'deleted')
+        UNION ALL SELECT NULL, error_message FROM kept WHERE error_message IS NOT NULL
+        UNION ALL SELECT NULL, {_CHECK} FROM checked JOIN kept USING (event_id)
+        WHERE c1 IS NOT NULL OR c2 IS NOT NULL""",
+    "stream_labels": f"""WITH {MESSAGES}, {_typed()},
+        kept AS (SELECT typed.* FROM typed JOIN docs USING (event_id)
+          WHERE coalesce(docs.doc->>'$.event.type', 'created') IN ('created', 'updated', 'deleted'))
+        SELECT CASE WHEN error_message IS NULL THEN "Id" END AS id, error_message,
+          CASE WHEN error_message IS NULL THEN true END AS as_batch FROM kept""",
+    "write_back": """SELECT '{"Name":"' || c_name || '","Segment":"' || c_mktsegment || '"}' AS value,
+        CASE WHEN c_name LIKE '%7' THEN 0 ELSE 1 END AS times,
+        CASE WHEN c_name LIKE '%7' THEN 'ValueError: refused' END AS error_message FROM customer""",
     "conform_types": """WITH checked AS (
           SELECT *, concat_ws('; ',
             CASE WHEN o_orderkey % 7 = 0 THEN 'd: not DATE' END,
@@ -251,8 +305,8 @@ ORACLES = {
     "stream_dead_letters": f"""WITH {MESSAGES},
         kept AS (SELECT * FROM routed
           WHERE coalesce(doc->>'$.event.type', 'created') IN ('created', 'updated', 'deleted'))
-        SELECT error_message, true AS same_bytes FROM kept WHERE error_message IS NOT NULL UNION ALL
-        SELECT {_CHECK}, true FROM checked JOIN kept USING (event_id)
+        SELECT error_message, value AS payload, true AS same_bytes FROM kept WHERE error_message IS NOT NULL UNION ALL
+        SELECT {_CHECK}, {_PAYLOAD_TEXT}, true FROM checked JOIN kept USING (event_id)
         WHERE c1 IS NOT NULL OR c2 IS NOT NULL""",
     "stream_text": f"""WITH {MESSAGES} SELECT value FROM docs
         WHERE coalesce(doc->>'$.event.type', 'created') IN ('created', 'updated', 'deleted')""",
@@ -305,8 +359,8 @@ ORACLES = {
     "anomaly_features": f"""WITH {OPPORTUNITY}, {
         _hashed("dated", [_clean(t) for t in _TEXTS] + _FLAGS)} SELECT o_orderkey AS "Id",
         array_to_string({_counts()}, ',') AS x, {_Z} AS amount_z FROM hashed""",
-    "examples": f"""WITH {OPPORTUNITY}, {_REGRESSION} SELECT array_to_string({_counts()}, ',') AS x, days AS y
-        FROM hashed WHERE days IS NOT NULL AND {_SPLIT.format("o_orderkey::VARCHAR")} = 'train'""",
+    "examples": f"""WITH {OPPORTUNITY}, {_REGRESSION} SELECT array_to_string({_counts()}, ',') AS x, days AS y,
+        {_SPLIT.format("o_orderkey::VARCHAR")} AS split FROM hashed WHERE days IS NOT NULL""",
     "split": f"""WITH {OPPORTUNITY} SELECT Id AS "Id", {_SPLIT.format("Id")} AS split FROM opportunity""",
     "result_rows": """SELECT o_orderkey::VARCHAR AS "opportunityId", o_orderkey % 6 - 1 AS "anomalyCluster"
         FROM orders WHERE o_orderkey % 11 <> 0""",
@@ -328,4 +382,6 @@ ORACLES = {
         reach(id, seen) AS (SELECT id, id FROM core UNION
           SELECT e.b, r.seen FROM reach r JOIN edges e ON e.a = r.id)
         SELECT p.id, min(seen) AS cluster FROM p LEFT JOIN reach ON reach.id = p.id GROUP BY p.id""",
+    "cluster_tree": hierarchy_sql.LABELS,
+    "cluster_predict": hierarchy_sql.PREDICTED,
 }

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
+from pyspark.errors import PySparkException
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from recordflow import schemas
-from recordflow.config import StreamIngestParams, TextExportParams
+from recordflow.config import BatchIngestParams, ScoringParams, StreamIngestParams, TextExportParams
 from recordflow.functions.columns import name
 from recordflow.functions.dates import created_at, short_date
 from recordflow.functions.variants import is_object
-from recordflow.ml import anomaly, density, regression
+from recordflow.ml import anomaly, density, hierarchy, regression, versions
 from recordflow.ml.inference import batch_predictor, linear_model
 from recordflow.operators import conform as C
 from recordflow.operators import envelope as E
@@ -20,9 +22,11 @@ from recordflow.operators import features as FT
 from recordflow.operators import shaping as S
 from recordflow.operators.lookups import saved
 from recordflow.plans import jobs, views
+from recordflow.schemas import render
 from recordflow.session import scratch_path
 from recordflow.sinks import files, tables
-from recordflow.sources import batch as B
+from recordflow.sources import batch as B, replay
+from recordflow.sources.folders import opened
 
 LINEAR_WEIGHTS = [float(i % 7 - 3) for i in range(64)]
 
@@ -118,17 +122,20 @@ def _checked(spark, sf, unknown):
     return C.conform(E.good(E.route_events(_events(spark, sf))), schemas.STREAM_TARGET, unknown=unknown)
 
 
+def _every_column(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """All columns of a target; objects as JSON, times as text."""
+    def column(f: T.StructField):
+        if isinstance(f.dataType, T.StructType):
+            return F.to_json(name(f.name)).alias(f.name)
+        if isinstance(f.dataType, T.TimestampType):
+            return F.date_format(name(f.name), "yyyy-MM-dd HH:mm:ss").alias(f.name)
+        return name(f.name)
+
+    return rows.select(*map(column, schema.fields))
+
+
 def conform_ignore(spark, sf):
-    return C.conforming(_checked(spark, sf, "ignore")).select(
-        F.col("Id").alias("id"),
-        F.col("OwnerId").alias("owner"),
-        F.col("Type").alias("type"),
-        F.col("StageName").alias("stage"),
-        F.col("Amount").alias("amount"),
-        F.col("IsWon").alias("is_won"),
-        F.col("IsClosed").alias("is_closed"),
-        F.col("Fiscal.Quarter").alias("quarter"),
-    )
+    return _every_column(C.conforming(_checked(spark, sf, "ignore")), schemas.STREAM_TARGET)
 
 
 def conform_reject(spark, sf):
@@ -150,14 +157,42 @@ def batch_append(spark, sf):
     )
     table = _new_table(spark, "batch", schemas.BATCH_TARGET)
     tables.append_rows(C.conform_or_fail(B.as_payload(records), schemas.BATCH_TARGET), table)
-    return spark.table(table).select(
-        F.col("Id").alias("id"),
-        F.col("Amount").alias("amount"),
-        F.col("StageName").alias("stage"),
-        F.col("IsWon").alias("is_won"),
-        F.col("Name").alias("name"),
-        F.date_format("CreatedDate", "yyyy-MM-dd HH:mm:ss").alias("created"),
-    )
+    return _every_column(spark.table(table), schemas.BATCH_TARGET)
+
+
+def batch_job(spark, sf):
+    """Ingest a JSON extract with a range and the user's SQL, and read the table back."""
+    records = views.opportunity(spark, sf).select(
+        "Id", "Amount", F.col("Stage").alias("StageName"), "IsWon",
+        F.date_format("CreatedDate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("LastModifiedDate"),
+    )
+    landed = scratch_path(spark, "extract")
+    records.select(S.record_json(records).alias("value")).write.text(landed)
+    table = _new_table(spark, "batch_job", schemas.BATCH_TARGET)
+    params = BatchIngestParams(
+        object_name="Opportunity", reference_name="batch", login_url="none", output_table=table, input_path=landed,
+        datetime_after="1994-01-01T00:00:00Z", datetime_before="1997-01-01T00:00:00Z",
+        query="select Id, StageName, Amount, IsWon as IsClosed from Opportunity where Amount > 50000",
+    )
+    jobs.ingest_batch(spark, params)
+    return spark.table(table).select("Id", "StageName", "Amount", "IsClosed", "IsWon")
+
+
+def json_lines_scan(spark, sf):
+    """Numbered files with a gap, a backup and cut lines: all records, and the manifest."""
+    customer = views.table(spark, sf, "customer")
+    line = F.to_json(F.struct(F.col("c_custkey").alias("Id"), F.col("c_name").alias("Name")))
+    cut = F.when(F.col("c_custkey") % 50 == 3, F.substring(line, 1, 10)).otherwise(line).alias("value")
+    prefix = scratch_path(spark, "lines") + "/rec"
+    for rest, number in enumerate((1, 2, 4, 5, 6)):
+        customer.filter(F.col("c_custkey") % 5 == rest).select(cut).write.text(f"{prefix}{number}.json")
+    customer.filter("c_custkey % 5 = 1").select(cut).write.text(f"{prefix}2.json.bak")
+    records, manifest = B.read_numbered(spark, prefix)
+    none = F.lit(None).cast("string")
+    return records.select(
+        "number", F.lit("record").alias("kind"), F.try_variant_get("payload", "$.Name", "string").alias("name"),
+        F.col("error_message").alias("status"), F.lit(1).cast("long").alias("records"),
+    ).union(manifest.select("number", F.lit("file"), none, "status", F.col("records") * 1000 + F.col("corrupt_records")))
 
 
 def conform_types(spark, sf):
@@ -193,8 +228,7 @@ def _new_table(spark, label, schema, streaming=False):
 
 def _drained(spark, sf):
     """Run the streaming ingest over the events table until it is drained."""
-    main = _new_table(spark, "stream", schemas.STREAM_TARGET, streaming=True)
-    dead = _new_table(spark, "dead", schemas.DEAD_LETTER, streaming=True)
+    main, dead = _stream_tables(spark)
     params = StreamIngestParams(
         object_name="Opportunity", reference_name=f"ingest_{main}", login_url="none",
         push_topic="opportunities", output_table=main, dead_letter_table=dead,
@@ -211,15 +245,23 @@ def _event_stream(spark, sf):
 
 def stream_ingest(spark, sf):
     main, _ = _drained(spark, sf)
-    return spark.table(main).select(
-        F.col("Id").alias("id"), F.col("Amount").alias("amount"), F.col("Type").alias("type")
-    )
+    return _every_column(tables.committed(spark, main), schemas.STREAM_TARGET)
+
+
+def _stream_tables(spark, schema=schemas.STREAM_TARGET):
+    main = _new_table(spark, "stream", schema, streaming=True)
+    return main, _new_table(spark, "dead", schemas.DEAD_LETTER, streaming=True)
+
+
+def _both(spark, main, dead):
+    """The ids of the rows and the errors of the dead letters."""
+    rows = tables.committed(spark, main).select(F.col("Id").alias("id"), F.lit(None).cast("string").alias("error_message"))
+    return rows.union(tables.committed(spark, dead).select(F.lit(None), "errorMessage"))
 
 
 def stream_two_feeds(spark, sf):
     """Two feeds into one table and one dead letter, and then a batch of the first once more."""
-    main = _new_table(spark, "stream", schemas.STREAM_TARGET, streaming=True)
-    dead = _new_table(spark, "dead", schemas.DEAD_LETTER, streaming=True)
+    main, dead = _stream_tables(spark)
 
     def half(events, n):
         return events.filter(F.pmod(F.xxhash64("value"), F.lit(2)) == n)
@@ -231,23 +273,119 @@ def stream_two_feeds(spark, sf):
             checkpoint_location=scratch_path(spark, f"feed{n}"),
         )
         jobs.ingest_stream(spark, params, changes=half(_event_stream(spark, sf), n), drain=True).awaitTermination()
-    feed = tables.feed_name(params.reference_name, params.checkpoint_location)
     again = half(views.messages(spark, views.table(spark, sf, "events")), 0)
-    schema = tables.record_schema(spark, main)
-    jobs.write_ingest_batch(again, 0, params, schema, datetime.now(timezone.utc), feed)
-    spark.catalog.refreshTable(main)
-    spark.catalog.refreshTable(dead)
-    return (
-        spark.table(main)
-        .select(F.col("Id").alias("id"), F.lit(None).cast("string").alias("error_message"))
-        .union(spark.table(dead).select(F.lit(None), "errorMessage"))
+    writer = jobs.batch_writer(spark, params, params.checkpoint_location)
+    jobs.write_ingest_batch(again, 0, params, writer, datetime.now(timezone.utc))
+    return _both(spark, main, dead)
+
+
+def stream_replay(spark, sf):
+    """A log of replay ids in two landings, the second one with ids that were landed before; the stream stops in
+    between and goes on at the id that it had reached."""
+    main, dead = _stream_tables(spark)
+    events = saved(E.with_replay_offset(_events(spark, sf)).select("event_id", "replay_id", "value"), "events")
+    middle = events.agg(F.percentile_approx("event_id", 0.5)).first()[0]
+    log = scratch_path(spark, "replay")
+    params = StreamIngestParams(
+        object_name="Opportunity", reference_name=f"replay_{main}", login_url="none", push_topic="opportunities",
+        output_table=main, dead_letter_table=dead, checkpoint_location=scratch_path(spark, "replay_position"),
+        input_path=log, input_format="replay", max_ids_per_trigger=max(middle // 2, 1),
+    )
+    for part in (F.col("event_id") <= middle, F.col("event_id") > middle):
+        repeated = events.filter((F.col("event_id") <= middle) & (F.col("replay_id") > 0))
+        replay.land(events.filter(part).select("value").union(repeated.select("value")), log)
+        query = jobs.ingest_stream(spark, params)
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+    return _both(spark, main, dead)
+
+
+def stream_labels(spark, sf):
+    """Fit and publish an anomaly model, label events from a stream, and publish a second one on the way: the
+    label of each event against batch scoring by the version of its time."""
+    main, dead = _stream_tables(spark, schemas.ANOMALY_TARGET)
+    records = views.scoring_records(spark, sf)
+    folder, landed = scratch_path(spark, "models"), scratch_path(spark, "landed")
+    events = views.messages(spark, views.table(spark, sf, "events"))
+    parts = [events.filter(F.col("event_id") % 2 == n) for n in (0, 1)]
+    models = [anomaly.fit(records), anomaly.fit(records, min_cluster_size=25)]
+    params = ScoringParams(
+        object_name="Opportunity", reference_name=f"labels_{main}", login_url="none", push_topic="opportunities",
+        output_table=main, dead_letter_table=dead, checkpoint_location=scratch_path(spark, "labels_position"),
+        input_path=f"{landed}/*", model_uri=folder,
+    )
+    query, expected = None, []
+    try:
+        for n, (part, model) in enumerate(zip(parts, models)):
+            versions.publish(model, folder)
+            part.select("value").write.text(f"{landed}/{n}")
+            query = query or jobs.label_stream(spark, params)
+            query.processAllAvailable()
+            typed = S.opportunity_rows(jobs.selected_changes(part.select("value"), params), mode="strict")
+            scored = model.score(typed.filter("error_message is null").select("record.*"))
+            expected.append(scored.select(F.col("Id").alias("id"), "cluster"))
+    finally:
+        if query is not None:
+            query.stop()
+    rows = tables.committed(spark, main).select(F.col("opportunityId").alias("id"), "anomalyCluster")
+    met = rows.join(expected[0].union(expected[1]), "id", "full")
+    same = F.coalesce(F.col("anomalyCluster") == F.col("cluster"), F.lit(False))
+    return met.select("id", F.lit(None).cast("string").alias("error_message"), same.alias("as_batch")).union(
+        tables.committed(spark, dead).select(F.lit(None), "errorMessage", F.lit(None))
     )
 
 
+class _TaskLost(BaseException):
+    """Not an error of the receiver: it ends the task."""
+
+
+def write_back(spark, sf):
+    """Send customers to a receiver that records them; the first run breaks off, the second one goes on."""
+    customer = views.table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("string").alias("Id"), F.col("c_name").alias("Name"),
+        F.col("c_mktsegment").alias("Segment"), F.col("c_nationkey").alias("Nation__c"),
+    )
+    folder = scratch_path(spark, "write_back")
+    customer.select(S.record_json(customer).alias("value")).write.text(f"{folder}/rec1")
+    system, root = opened(folder)
+    system.create_dir(f"{root}/taken")
+    dead = _new_table(spark, "unsent", schemas.DEAD_LETTER)
+
+    def receiver(breaks: bool):
+        taken = []
+
+        def send(record: str) -> None:
+            if '7","Segment' in record:
+                raise ValueError("refused")
+            if breaks and len(taken) == 20:
+                raise _TaskLost
+            taken.append(record)
+            with system.open_output_stream(f"{root}/taken/{uuid.uuid4().hex}") as out:
+                out.write(record.encode() + b"\n")
+
+        return send
+
+    for breaks in (True, False):
+        try:
+            jobs.write_back(
+                spark, f"{folder}/rec", receiver(breaks), dead_letter_table=dead, ledger=f"{folder}/ledger",
+                senders=4, records_per_pause=1000, pause=0.0,
+            )
+        except PySparkException:
+            if not breaks:
+                raise
+    received = spark.read.text(f"{folder}/taken").groupBy("value").agg(F.count(F.lit(1)).alias("times"))
+    unsent = spark.table(dead).select(F.col("payloadString"), F.lit(0).cast("long"), "errorMessage")
+    return received.select("value", "times", F.lit(None).cast("string").alias("error_message")).union(unsent)
+
+
 def stream_dead_letters(spark, sf):
     _, dead = _drained(spark, sf)
-    return spark.table(dead).select(
+    return tables.committed(spark, dead).select(
         F.col("errorMessage").alias("error_message"),
+        F.col("payloadString").alias("payload"),
         (F.col("payloadBytes") == F.encode("payloadString", "UTF-8")).alias("same_bytes"),
     )
 
@@ -359,8 +497,8 @@ def examples(spark, sf):
     features = FT.with_split(FT.regression_features(views.report(spark, sf)).filter("y is not null"))
     path = scratch_path(spark, "examples")
     files.write_examples(FT.examples(features, keep=["split"]), path)
-    back = B.read_examples(spark, f"{path}/split=train")
-    return back.select(_joined_int("x", "x"), F.col("y").cast("bigint").alias("y"))
+    back = spark.read.schema(f"{render(schemas.EXAMPLE)}, split string").parquet(path)
+    return back.select(_joined_int("x", "x"), F.col("y").cast("bigint").alias("y"), "split")
 
 
 def _joined_int(array: str, out: str):
@@ -408,20 +546,18 @@ def cluster_fit(spark, sf):
 
 
 def cluster_tree(spark, sf):
-    """Clusters chosen from a ladder of radii."""
-    return density.hierarchy(_customer_points(spark, sf), dims=2).labels
+    """The most stable clusters of the complete hierarchy."""
+    return hierarchy.hierarchy(_customer_points(spark, sf), dims=2).labels
 
 
 def cluster_predict(spark, sf):
-    """Cluster of the nearest exemplar, for suppliers placed among the customers."""
-    tree = density.hierarchy(_customer_points(spark, sf), dims=2)
-    index = saved(density.exemplar_index(tree.exemplars, 2), "index")
+    """Cluster of the nearest member within its cluster's radius, for suppliers among the customers."""
+    tree = hierarchy.hierarchy(_customer_points(spark, sf), dims=2)
     suppliers = views.table(spark, sf, "supplier").select(
         F.col("s_suppkey").alias("id"),
         F.array(F.col("s_acctbal") / 100.0, F.col("s_nationkey").cast("double") * 2.0).alias("coords"),
     )
-    entries = tree.exemplars.count() * 9
-    return density.predict(suppliers, index, tree.levels, 2, entries=entries).select("id", "cluster")
+    return hierarchy.predict(suppliers, tree.index, 2, members=tree.members).select("id", "cluster")
 
 
 def encode_pca(spark, sf):
@@ -449,8 +585,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         route_messages, replay_offset, start_offset, change_kind, extract_payload, dead_letter_rows,
-        conform_ignore, conform_reject, conform_types, union_errors, batch_append, stream_ingest, stream_two_feeds,
-        stream_dead_letters, stream_text, typed_projection_lenient, typed_projection_strict,
+        conform_ignore, conform_reject, conform_types, union_errors, batch_append, batch_job, stream_ingest, stream_two_feeds,
+        stream_replay, stream_labels, write_back, stream_dead_letters, stream_text, json_lines_scan, typed_projection_lenient, typed_projection_strict,
         scan_range, scan_window, sql_scan, drop_columns, strip_text, rename_columns, row_id,
         record_to_json, restricted_fields, hash_features, zscore, scale_params, parse_dates,
         days_to_close, regression_features, anomaly_features, examples, split, result_rows,

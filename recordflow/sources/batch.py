@@ -5,10 +5,11 @@ from __future__ import annotations
 import re
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from recordflow.config import parse_instant, parse_span
 from recordflow.functions.columns import name
+from recordflow.functions.variants import is_object
 from recordflow.schemas import EXAMPLE, REPORT
 
 MODIFIED = "LastModifiedDate"
@@ -143,6 +144,54 @@ def read_json_lines(spark: SparkSession, prefix: str) -> DataFrame:
     )
 
 
+def numbered(path: Column, prefix: str, suffix: str) -> Column:
+    """The number of a file ``<prefix><number><suffix>``, or of a folder of that name that holds it; else null."""
+    name = rf"\Q{prefix.rstrip('/').rsplit('/', 1)[-1]}\E(\d{{1,18}})\Q{suffix}\E"
+    found = F.regexp_extract(path, rf"/{name}(?:/[^/]+)?$", 1)
+    return F.when(found != "", found.cast("bigint"))
+
+
+def read_numbered(
+    spark: SparkSession, prefix: str, *, suffix: str = ".json", first: int = 1, last: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Records of the JSON-lines files ``<prefix><number><suffix>`` and a manifest of them.
+
+    Records: (``number``, ``value``, ``payload`` or ``error_message``), every line once; one that is no JSON
+    object, such as a cut one, has the error. Manifest: one row per number from ``first`` to ``last``, or to the highest that
+    is there: (``number``, ``status``, ``records``, ``corrupt_records``); the status is ``read``, ``corrupt`` when some of
+    its records are, or ``missing``. Other files that begin like the prefix, such as backups, are not read.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(prefix + "*")
+    files = files.select(numbered(F.col("path"), prefix, suffix).alias("number")).filter("number is not null")
+    lines = spark.read.option("recursiveFileLookup", True).text(prefix + "*").select(
+        numbered(F.col("_metadata.file_path"), prefix, suffix).alias("number"), "value"
+    )
+    parsed = lines.filter("number is not null").select("*", F.try_parse_json("value").alias("_doc"))
+    fits = F.coalesce(is_object(F.col("_doc")), F.lit(False))
+    records = parsed.select(
+        "number",
+        "value",
+        F.when(fits, F.col("_doc")).alias("payload"),
+        F.when(~fits, F.concat(F.lit("not a JSON object: "), F.col("value"))).alias("error_message"),
+    )
+    met = records.groupBy("number").agg(
+        F.count(F.lit(1)).alias("records"), F.count("error_message").alias("corrupt_records")
+    )
+    top = F.max("number") if last is None else F.lit(last)
+    # One row per number; the highest comes from the files, the count from their lines.
+    expected = files.agg(top.alias("top")).filter(F.col("top") >= first).select(
+        F.explode(F.sequence(F.lit(first).cast("bigint"), F.col("top").cast("bigint"))).alias("number")
+    )
+    there = files.distinct().withColumn("there", F.lit(True))
+    manifest = expected.join(there, "number", "left").join(met, "number", "left").select(
+        "number",
+        F.when(F.col("there").isNull(), "missing").when(F.col("corrupt_records") > 0, "corrupt").otherwise("read").alias("status"),
+        F.coalesce("records", F.lit(0)).alias("records"),
+        F.coalesce("corrupt_records", F.lit(0)).alias("corrupt_records"),
+    )
+    return records, manifest
+
+
 def read_examples(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(EXAMPLE).parquet(path)
 

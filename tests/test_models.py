@@ -41,7 +41,7 @@ def test_regressor_beats_the_median(spark, tmp_path):
     assert a == b
 
 
-@pytest.mark.parametrize("setting", [{"dims": 2, "eps": 0.8, "levels": 1}])
+@pytest.mark.parametrize("setting", [{}])
 def test_anomaly_model_round_trip(spark, small, tmp_path, setting):
     records = views.scoring_records(spark, small).limit(300).cache()
     model = jobs.train_anomaly_model(records, str(tmp_path / "m"), **setting)
@@ -83,7 +83,7 @@ def test_model_queries_use_the_defaults(spark, small, monkeypatch):
 
         return call
 
-    monkeypatch.setattr(queries.density, "hierarchy", recorder("hierarchy"))
+    monkeypatch.setattr(queries.hierarchy, "hierarchy", recorder("hierarchy"))
     monkeypatch.setattr(queries.anomaly, "fit", recorder("anomaly"))
     monkeypatch.setattr(queries.regression, "fit", recorder("regression"))
     expected = {"cluster_tree": {"dims": 2}, "cluster_predict": {"dims": 2}, "score_anomalies": {}, "regress_score": {}}

@@ -3,7 +3,6 @@ import pytest
 
 import __spark_entry__ as contract
 
-SLOW = {"cluster_fit", "cluster_tree", "cluster_predict", "score_anomalies"}
 
 
 def test_every_sql_belongs_to_a_query():
@@ -15,13 +14,13 @@ def duck(small):
     return compare.duck(small)
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
 def test_query_equals_sql(spark, small, duck, name):
     df = contract.queries()[name](spark, small)
     assert compare.differences(df, contract.oracle_sql()[name], duck) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - set(contract.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(contract.queries()) - set(contract.oracle_sql())))
 def test_query_gives_rows(spark, small, name):
     assert contract.queries()[name](spark, small).count() > 0
 
