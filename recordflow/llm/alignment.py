@@ -14,6 +14,7 @@ import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ SHARD_PAIRS = 1 << 20
 #: Up to so many pairs (17 bytes each) the table goes to all tasks; beyond it, the texts' pairs go to the shards.
 BROADCAST_PAIRS = 2_000_000
 #: Characters of aligned chunks that a worker holds, and of texts that are aligned in one step.
-CHUNK_CHARS = 3_000_000
+CHUNK_CHARS = 6_000_000
 STEP_CHARS = 2_000_000
 #: Slots of a level of the hash for each key that is left.
 SPARE = 1.5
@@ -40,6 +41,8 @@ CUT = re.compile(rf"(?<=[^ {SPACE_MARK}]) (?=\w)")
 #: Chunks that such a space can stand on both sides of; TOGETHER of them are encoded at once.
 INNER = re.compile(rf"\w[^{SPACE_MARK}]*(?<! )", re.DOTALL)
 TOGETHER = 2000
+#: Documents whose pairs are counted in one step.
+DOCUMENTS = 100
 SEEDS = mix(np.arange(1, 129, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -135,40 +138,44 @@ class Tokens:
         """The text in pieces that can be encoded one by one, each after a space."""
         return CUT.split(text) if self.by_words else [text]
 
-    def encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Tokens of A and of B of all chunks, how many each chunk has, and whether its bytes come back; a chunk
-        whose bytes do not has no tokens.
+    def encode(self, chunks: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The chunks in another order, tokens of A and of B of all of them, and how many each one has; a chunk
+        whose bytes do not come back has none.
 
         Chunks that may follow each other in a text are encoded many at a time, as one text; their bytes tell
         them apart again.
         """
-        raw = [(" " + c).encode() for c in chunks]
-        a, b = [None] * len(chunks), [None] * len(chunks)
-        inner = [i for i, c in enumerate(chunks) if self.by_words and INNER.fullmatch(c)]
+        inner = [c for c in chunks if self.by_words and INNER.fullmatch(c)]
+        alone = list(set(chunks) - set(inner))
+        order, sides = [], ([], [])
         for at in range(0, len(inner), TOGETHER):
             part = inner[at : at + TOGETHER]
-            ends = np.cumsum([len(raw[i]) for i in part])
-            text = " ".join([chunks[i] for i in part])
-            sides = self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)
-            sides = [np.array(ids, np.int64) for ids in sides]
-            if any(b"".join(map(known.__getitem__, ids.tolist())) != b"".join([raw[i] for i in part])
-                   for known, ids in zip((self.bytes_a, self.bytes_b), sides)):
-                continue  # one by one
-            for out, ids, lengths in zip((a, b), sides, (self.lengths_a, self.lengths_b)):
-                cuts = np.searchsorted(np.cumsum(lengths[ids]), ends, side="right").tolist()
-                for i, x, y in zip(part, [0, *cuts], cuts):
-                    out[i] = ids[x:y]
-        rest = [i for i, ids in enumerate(a) if ids is None]
-        if rest:
-            alone = self.a.encode_batch([" " + chunks[i] for i in rest], add_special_tokens=False)
-            others = self.b.encode([chunks[i] for i in rest], num_threads=1)
-            for i, ids, pieces in zip(rest, alone, others):
-                fits = all(
-                    b"".join(map(known.__getitem__, x)) == raw[i] for known, x in ((self.bytes_a, ids.ids), (self.bytes_b, pieces))
-                )
-                a[i], b[i] = (np.array(x if fits else [], np.int64) for x in (ids.ids, pieces))
-        n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(ids)) for ids in (a, b))
-        return np.concatenate(a), np.concatenate(b), n_a, n_b, n_a > 0
+            text = " ".join(part)
+            raw = [c.encode() for c in part]
+            ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)) + 1)
+            whole = b" " + b" ".join(raw)
+            ids = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, self.b.encode(text)
+            if any(b"".join(map(k.__getitem__, x)) != whole for k, x in zip((self.bytes_a, self.bytes_b), ids)):
+                alone += part
+                continue
+            order += part
+            for side, x, lengths in zip(sides, ids, (self.lengths_a, self.lengths_b)):
+                x = np.array(x, np.int64)
+                cuts = np.searchsorted(np.cumsum(lengths[x]), ends, side="right")
+                side.append((x, np.diff(cuts, prepend=0)))
+        if alone:
+            order += alone
+            ids_a = [e.ids for e in self.a.encode_batch_fast([" " + c for c in alone], add_special_tokens=False)]
+            ids_b = self.b.encode(alone, num_threads=1)
+            for i, c in enumerate(alone):
+                whole = (" " + c).encode()
+                if any(b"".join(map(k.__getitem__, x[i])) != whole for k, x in ((self.bytes_a, ids_a), (self.bytes_b, ids_b))):
+                    ids_a[i], ids_b[i] = [], []
+            for side, ids in zip(sides, (ids_a, ids_b)):
+                flat = np.array([x for own in ids for x in own], np.int64)
+                side.append((flat, np.fromiter(map(len, ids), np.int64, len(ids))))
+        (flat_a, n_a), (flat_b, n_b) = ([np.concatenate(x) for x in zip(*side)] for side in sides)
+        return order, flat_a, flat_b, n_a, n_b
 
 
 def byte_letters() -> dict[str, int]:
@@ -179,11 +186,17 @@ def byte_letters() -> dict[str, int]:
 
 
 def groups_of(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The common ends, and the group of each token."""
-    cuts = np.intersect1d(ends_a, ends_b)
+    """The common ends of two rising lists that end alike, and the group of each token."""
+    cuts = ends_a[ends_b[np.searchsorted(ends_b, ends_a)] == ends_a] if len(ends_a) else ends_a
     return cuts, np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
 
 
+def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one after another."""
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))
+
+
 class Aligner:
     """Aligned chunks of one worker, and their sums under a table of pair counts."""
 
@@ -200,7 +213,7 @@ class Aligner:
     def clear(self) -> None:
         self.known: dict[str, int] = {}
         self.text: list[str] = []
-        self.keys: list[np.ndarray] = []
+        self.keys = np.zeros(0, np.uint64)
         #: For each chunk whether its bytes come back, tokens of A and B, groups, links, best links, sum of counts.
         self.sums = np.zeros((0, 7), np.int64)
         self.chars = 0
@@ -211,8 +224,8 @@ class Aligner:
         new = list(set(chunks) - self.known.keys())
         if not new:
             return
+        new, flat_a, flat_b, n_a, n_b = self.tokens.encode(new)
         self.known.update(zip(new, range(len(self.sums), len(self.sums) + len(new))))
-        flat_a, flat_b, n_a, n_b, fits = self.tokens.encode(new)
         # Chunks end where tokens of both end, so one alignment of all of them gives that of each.
         cuts, group_a, group_b = groups_of(
             np.cumsum(self.tokens.lengths_a[flat_a]), np.cumsum(self.tokens.lengths_b[flat_b])
@@ -222,51 +235,76 @@ class Aligner:
         # Each token of A with all tokens of B in its group.
         times = count_b[group_a]
         place = np.concatenate([[0], np.cumsum(times)])
-        partner = flat_b[np.repeat(begin_b[group_a] - place[:-1], times) + np.arange(place[-1])]
+        partner = flat_b[ranges(begin_b[group_a], times)]
         keys = (np.repeat(flat_a, times) * self.tokens.width + partner).astype(np.uint64)
         last_a = np.cumsum(n_a)
         last = np.searchsorted(begin_a, last_a)  # groups up to and with each chunk
         links = place[last_a]
         sums = np.zeros((len(new), 7), np.int64)
-        sums[:, 0], sums[:, 1], sums[:, 2] = fits, n_a, n_b
+        sums[:, 0], sums[:, 1], sums[:, 2] = n_a > 0, n_a, n_b
         sums[:, 3], sums[:, 4] = np.diff(last, prepend=0), np.diff(links, prepend=0)
         if self.look_up is not None:
             counts, best = self.look_up(keys)
             for column, values in ((5, best), (6, counts)):
                 total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
                 sums[:, column] = np.diff(total[links], prepend=0)
+        else:
+            self.keys = np.concatenate([self.keys, keys])
+            self.starts = np.concatenate([[0], np.cumsum(np.concatenate([self.sums[:, 4], sums[:, 4]]))])
         if self.written:
             ids_a, ids_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
             spans = zip(begin_a.tolist(), count_a.tolist(), begin_b.tolist(), count_b.tolist())
             groups = [f"{','.join(ids_a[x : x + m])}|{','.join(ids_b[y : y + n])}" for x, m, y, n in spans]
             ends = last.tolist()
             self.text += [";".join(groups[x:y]) for x, y in zip([0, *ends], ends)]
-        if self.look_up is None:
-            ends = links.tolist()
-            self.keys += [keys[x:y] for x, y in zip([0, *ends], ends)]
         self.sums = np.concatenate([self.sums, sums])
         self.chars += sum(map(len, new))
 
-    def documents(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, list[int]]]:
-        """For each text its sums, and the places of its chunks; a text without tokens has zeros and none."""
+    def documents(self, texts: list[str | None]) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The sums of each text, and the places of its chunks; a text without tokens has zeros and none."""
         cut = [self.tokens.chunks(t) if t else [] for t in texts]
-        self.learn([c for chunks in cut for c in chunks])
-        for chunks in cut:
-            places = list(map(self.known.__getitem__, chunks))
-            sums = self.sums[places]
-            if places and sums[:, 0].all():
-                yield sums.sum(axis=0), places
-            else:
-                yield np.zeros(7, np.int64), []
-
-    def linked(self, places: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        flat = list(chain.from_iterable(cut))
+        self.learn(flat)
+        places = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
+        ends = np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut)))
+        total = np.concatenate([np.zeros((1, 7), np.int64), np.cumsum(self.sums[places], axis=0)])
+        sums = np.diff(total[np.concatenate([[0], ends])], axis=0)
+        begin = np.concatenate([[0], ends[:-1]])
+        whole = (sums[:, 0] == ends - begin) & (ends > begin)
+        sums[~whole] = 0
+        return sums, [places[x:y] if ok else places[:0] for x, y, ok in zip(begin.tolist(), ends.tolist(), whole.tolist())]
+
+    def linked(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The distinct pairs of a document, and how often each is linked in it."""
-        if not places:
+        if not len(places):
+            return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return np.unique(self.keys[ranges(self.starts[places], self.sums[places, 4])], return_counts=True)
+
+    def counted(self, documents: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct pairs of some documents, and how many of them link each."""
+        found, times = [], []
+        for a in range(0, len(documents), DOCUMENTS):
+            part = documents[a : a + DOCUMENTS]
+            places = np.concatenate(part)
+            if not len(places):
+                continue
+            length = self.sums[places, 4]
+            owner = np.repeat(np.repeat(np.arange(len(part)), [len(p) for p in part]), length)
+            keys = self.keys[ranges(self.starts[places], length)]
+            distinct, place = np.unique(keys, return_inverse=True)
+            # The pairs of a document are distinct, those of several are not.
+            once = np.unique(place * len(part) + owner) // len(part)
+            found.append(distinct)
+            times.append(np.bincount(once, minlength=len(distinct)))
+        if not found:
             return np.empty(0, np.uint64), np.empty(0, np.int64)
-        return np.unique(np.concatenate([self.keys[p] for p in places]), return_counts=True)
+        keys, place = np.unique(np.concatenate(found), return_inverse=True)
+        return keys, np.bincount(place, np.concatenate(times), len(keys)).astype(np.int64)
 
-    def digest(self, places: list[int]) -> str:
-        return hashlib.sha256(";".join(self.text[p] for p in places).encode()).hexdigest() if places else ""
+    def digest(self, places: np.ndarray) -> str:
+        if not len(places):
+            return ""
+        return hashlib.sha256(";".join(map(self.text.__getitem__, places.tolist())).encode()).hexdigest()
 
 
 @lru_cache(maxsize=1)
@@ -450,9 +488,7 @@ def linked_blocks(texts: DataFrame, path_a: str, path_b: str) -> DataFrame:
         for batch in batches:
             bodies = batch.column(0).to_pylist()
             for a, b in steps(bodies):
-                # The pairs of a document are distinct, those of several are not.
-                found = [aligner.linked(places)[0] for _, places in aligner.documents(bodies[a:b])]
-                keys, times = np.unique(np.concatenate(found), return_counts=True)
+                keys, times = aligner.counted(aligner.documents(bodies[a:b])[1])
                 if len(keys):
                     columns = [pa.array([keys.tobytes()], pa.binary()), pa.array([times.astype("<i4").tobytes()], pa.binary())]
                     yield pa.RecordBatch.from_arrays(columns, ["some", "times"])
@@ -581,10 +617,10 @@ def looked_up_at_texts(spark, docs: DataFrame, table: DataFrame, path_a: str, pa
         for batch in batches:
             bodies = batch.column(1).to_pylist()
             for a, b in steps(bodies):
-                found = [(sums, aligner.digest(places)) for sums, places in aligner.documents(bodies[a:b])]
-                sums = np.stack([s for s, _ in found])
+                sums, documents = aligner.documents(bodies[a:b])
+                digests = pa.array(map(aligner.digest, documents), pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), *[pa.array(sums[:, i]) for i in range(1, 7)], pa.array([d for _, d in found])],
+                    [batch.column(0).slice(a, b - a), *[pa.array(sums[:, i]) for i in range(1, 7)], digests],
                     ["doc_id", *COLUMNS, "groups_sha256"],
                 )
 
@@ -602,21 +638,20 @@ def looked_up_at_shards(docs: DataFrame, table: DataFrame, path_a: str, path_b:
         for batch in batches:
             bodies = batch.column(2).to_pylist()
             for a, b in steps(bodies):
-                found, parts = [], []
-                for sums, places in aligner.documents(bodies[a:b]):
+                parts = []
+                sums, documents = aligner.documents(bodies[a:b])
+                for places in documents:
                     keys, times = aligner.linked(places)
                     shard = shard_of(keys, width, shards)
-                    found.append((sums, aligner.digest(places)))
                     parts.append([
                         {"shard": s, "some": keys[shard == s].tobytes(), "times": times[shard == s].tobytes()}
                         for s in np.unique(shard).tolist()
                     ])
-                sums = np.stack([s for s, _ in found])
                 yield pa.RecordBatch.from_arrays(
                     [
                         *[batch.column(i).slice(a, b - a) for i in (0, 1)],
                         *[pa.array(sums[:, i]) for i in range(1, 5)],
-                        pa.array([d for _, d in found], pa.string()),
+                        pa.array(map(aligner.digest, documents), pa.string()),
                         pa.array(parts, pa.list_(pa.struct([("shard", pa.int32()), ("some", pa.binary()), ("times", pa.binary())]))),
                     ],
                     ["place", "doc_id", *COLUMNS[:4], "groups_sha256", "parts"],
