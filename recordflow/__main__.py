@@ -5,8 +5,17 @@ from __future__ import annotations
 import sys
 
 from pyspark.sql import SparkSession
-
-from recordflow.config import BatchIngestParams, ScoringParams, StreamIngestParams, TextExportParams
+from pyspark.sql.streaming import StreamingQuery
+
+from recordflow.config import (
+    BatchIngestParams,
+    RegressionParams,
+    ScoringParams,
+    StreamIngestParams,
+    TextExportParams,
+    TrainingParams,
+    WriteBackParams,
+)
 from recordflow.plans import jobs
 
 JOBS = {
@@ -14,6 +23,10 @@ JOBS = {
     "ingest-stream": (StreamIngestParams, jobs.ingest_stream),
     "label-stream": (ScoringParams, jobs.label_stream),
     "export-text": (TextExportParams, jobs.export_text),
+    "train-anomaly": (TrainingParams, jobs.train_from_report),
+    "train-regressor": (TrainingParams, jobs.train_regressor_from_report),
+    "score-regressor": (RegressionParams, jobs.score_report),
+    "write-back": (WriteBackParams, jobs.write_back_files),
 }
 
 
@@ -22,9 +35,10 @@ def main(argv: list[str]) -> None:
         raise SystemExit(f"usage: python -m recordflow {{{','.join(JOBS)}}} --name=value ...")
     params_type, job = JOBS[argv[0]]
     params = params_type.from_args(argv[1:])
-    spark = SparkSession.builder.appName(params.reference_name).config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    name = getattr(params, "reference_name", argv[0])
+    spark = SparkSession.builder.appName(name).config("spark.sql.session.timeZone", "UTC").getOrCreate()
     query = job(spark, params)
-    if query is not None:
+    if isinstance(query, StreamingQuery):
         query.awaitTermination()
 
 

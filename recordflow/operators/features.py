@@ -31,7 +31,7 @@ def hash_features(
     types = {f.name: f.dataType for f in df.schema.fields}
     hashed = buckets([value_text(name(c), types[c]) for c in columns], n)
     counted = compute_once(
-        compute_once(df, _buckets=hashed), **{out: bucket_counts(F.col("_buckets"), n)}
+        compute_once(df, _buckets=hashed), **{out: bucket_counts(F.col("_buckets"), n, len(columns))}
     )
     return counted.drop("_buckets")
 

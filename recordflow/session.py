@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -24,9 +26,18 @@ def local_session(cores: int | str = "*", **extra: str) -> SparkSession:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    share_package(spark)
     return spark
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever Spark was started, as far as they see this folder."""
+    root = str(Path(__file__).resolve().parent.parent)
+    paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 UTC_NAMES = {"UTC", "Etc/UTC", "Etc/UCT", "UCT", "Etc/GMT", "GMT", "GMT0", "Zulu", "Universal", "Z", "+00:00"}
 
 

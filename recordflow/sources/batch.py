@@ -151,6 +151,15 @@ def numbered(path: Column, prefix: str, suffix: str) -> Column:
     return F.when(found != "", found.cast("bigint"))
 
 
+def file_numbers(spark: SparkSession, prefix: str, suffix: str) -> list[int]:
+    """The numbers of the files, empty ones as well, and folders that are there, by their names."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(prefix + "*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    name = re.escape(prefix.rstrip("/").rsplit("/", 1)[-1])
+    names = [re.fullmatch(rf"{name}(\d{{1,18}}){re.escape(suffix)}", f.getPath().getName()) for f in found]
+    return [int(m[1]) for m in names if m]
+
+
 def read_numbered(
     spark: SparkSession, prefix: str, *, suffix: str = ".json", first: int = 1, last: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -161,8 +170,7 @@ def read_numbered(
     is there: (``number``, ``status``, ``records``, ``corrupt_records``); the status is ``read``, ``corrupt`` when some of
     its records are, or ``missing``. Other files that begin like the prefix, such as backups, are not read.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(prefix + "*")
-    files = files.select(numbered(F.col("path"), prefix, suffix).alias("number")).filter("number is not null")
+    there = sorted({n for n in file_numbers(spark, prefix, suffix) if n >= first})
     lines = spark.read.option("recursiveFileLookup", True).text(prefix + "*").select(
         numbered(F.col("_metadata.file_path"), prefix, suffix).alias("number"), "value"
     )
@@ -177,13 +185,10 @@ def read_numbered(
     met = records.groupBy("number").agg(
         F.count(F.lit(1)).alias("records"), F.count("error_message").alias("corrupt_records")
     )
-    top = F.max("number") if last is None else F.lit(last)
-    # One row per number; the highest comes from the files, the count from their lines.
-    expected = files.agg(top.alias("top")).filter(F.col("top") >= first).select(
-        F.explode(F.sequence(F.lit(first).cast("bigint"), F.col("top").cast("bigint"))).alias("number")
-    )
-    there = files.distinct().withColumn("there", F.lit(True))
-    manifest = expected.join(there, "number", "left").join(met, "number", "left").select(
+    top = last if last is not None else max(there, default=first - 1)
+    expected = spark.range(first, top + 1).withColumnRenamed("id", "number")
+    found = spark.createDataFrame([(n, True) for n in there], "number long, there boolean")
+    manifest = expected.join(found, "number", "left").join(met, "number", "left").select(
         "number",
         F.when(F.col("there").isNull(), "missing").when(F.col("corrupt_records") > 0, "corrupt").otherwise("read").alias("status"),
         F.coalesce("records", F.lit(0)).alias("records"),

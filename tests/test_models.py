@@ -3,9 +3,12 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F, types as T
 
-from recordflow.ml import anomaly, regression
+from recordflow import schemas
+from recordflow.__main__ import main
+from recordflow.config import TrainingParams
+from recordflow.ml import anomaly, regression, versions
 from recordflow.ml.inference import affine_encoder, batch_predictor, linear_model
-from recordflow.operators.features import hash_features
+from recordflow.operators.features import anomaly_features, anomaly_report_features, hash_features
 from recordflow.plans import jobs, queries, views
 
 
@@ -52,6 +55,43 @@ def test_anomaly_model_round_trip(spark, small, tmp_path, setting):
     assert one == two and len(one) == 300 and None not in one.values()
 
 
+def test_report_and_events_get_the_same_features(spark, small, tmp_path):
+    """The stripping rule travels with the model."""
+    report, path = views.report(spark, small).limit(400).drop("Id"), str(tmp_path / "report")
+    report.write.option("header", True).csv(path)
+    params = TrainingParams.from_args([f"--reportPath={path}", f"--modelUri={tmp_path / 'models'}"])
+    assert jobs.train_from_report(spark, params) == 1
+    model = versions.LatestModel(spark, str(tmp_path / "models")).get()
+    assert model.strip and model.dims == 10 and model.members > 0
+    records = views.scoring_records(spark, small)
+    by_event = anomaly_features(anomaly.cleaned(records, model.strip), 0.0, 1.0).select(F.col("Id").cast("long"), "x")
+    by_report = anomaly_report_features(views.report(spark, small), 0.0, 1.0).select("Id", F.col("x").alias("y"))
+    both = by_event.join(by_report, "Id")
+    assert both.count() == records.count() and both.filter("x <> y").count() == 0
+    assert {r["cluster"] for r in model.score(records).collect()} > {-1}
+
+
+def test_command_lines(spark, small, tmp_path, new_table, monkeypatch):
+    path, prefix = str(tmp_path / "report"), str(tmp_path / "scored")
+    views.report(spark, small).limit(300).drop("Id").write.option("header", True).csv(path)
+    options = [f"--reportPath={path}", f"--modelUri={tmp_path / 'model'}"]
+    main(["train-regressor", *options])
+    main(["score-regressor", *options, f"--outputTxtFilePathPrefix={prefix}"])
+    lines = [r[0] for r in spark.read.text(prefix).collect()]
+    assert len(lines) == 300 and all(line.startswith("example is [") for line in lines)
+    (tmp_path / "rec1").write_text('{"Name":"a"}\nbroken\n')
+    dead = new_table(schemas.DEAD_LETTER)
+    main([
+        "write-back", f"--inputPath={tmp_path / 'rec'}", "--sender=builtins:len", f"--outputDeadletterTable={dead}",
+        f"--ledgerPath={tmp_path / 'ledger'}",
+    ])
+    assert [r["payloadString"] for r in spark.table(dead).collect()] == ["broken"]
+    with pytest.raises(ValueError, match="modelUri"):
+        main(["train-anomaly", "--reportPath=x"])
+    with pytest.raises(SystemExit):
+        main(["no-such-job"])
+
+
 def test_encoder_width(spark):
     r = np.random.default_rng(0)
     df = spark.createDataFrame(

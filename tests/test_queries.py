@@ -1,9 +1,16 @@
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import compare
 import pytest
 
 import __spark_entry__ as contract
 
 
+ROOT = Path(__file__).resolve().parent.parent
+
 
 def test_every_sql_belongs_to_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
@@ -49,3 +56,15 @@ def test_event_path_has_no_shuffle_and_no_python(spark, small, name):
     # A small file may be dealt out to all cores; nothing else moves rows.
     assert text.count("Exchange") == text.count("Exchange RoundRobinPartitioning")
     assert "Python" not in text and "Arrow" not in text
+
+
+def test_workers_find_the_package_from_anywhere(tmp_path):
+    """A session that knows nothing of the repository, started in another folder."""
+    code = (
+        f"import sys; sys.path.insert(0, {str(ROOT)!r}); import __spark_entry__ as e; from pyspark.sql import SparkSession; "
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', False).getOrCreate(); "
+        "print('rows', e.queries()['batch_infer'](s, '/root/testdata/sf0.001').count())"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 1500" in done.stdout, done.stderr[-2000:]
