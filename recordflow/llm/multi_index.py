@@ -28,6 +28,9 @@ CHUNKS = 24
 DISTANCE = 2 * CHUNKS - 1
 #: Members of a bucket that are compared with each other in one step.
 BLOCK = 256
+#: Closest pairs of two components in such a step that are confirmed first; each further round takes
+#: so many times more, until none is left out.
+QUOTA = 8
 
 _rng = np.random.default_rng(20240229)
 FACTORS = _rng.integers(0, 2**63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -75,18 +78,20 @@ def fingerprints(docs: DataFrame, width: int) -> DataFrame:
 
 
 def keyed(groups: DataFrame) -> DataFrame:
-    """(``key``, ``node``), SYMBOLS rows for each row of ``groups`` (``node``, ``signature``)."""
+    """(``key``, ``node``, ``size``), SYMBOLS rows for each row of ``groups``."""
 
     def run(batches):
         for batch in batches:
             for a in range(0, batch.num_rows, 2000):
                 part = batch.slice(a, 2000)
-                keys = index_keys(unpack(part.column(1)))
-                nodes = np.repeat(part.column(0).to_numpy(zero_copy_only=False), SYMBOLS)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(nodes)], ["key", "node"])
+                keys = index_keys(unpack(part.column(2)))
+                nodes, sizes = (np.repeat(part.column(i).to_numpy(zero_copy_only=False), SYMBOLS) for i in (0, 1))
+                columns = [pa.array(keys.ravel()), pa.array(nodes), pa.array(sizes)]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "node", "size"])
 
     kind = dict(groups.dtypes)["node"]
-    return groups.select("node", "signature").mapInArrow(run, f"key long, node {kind}")
+    rows = groups.select("node", F.col("size").cast("int").alias("size"), "signature")
+    return rows.mapInArrow(run, f"key long, node {kind}, size int")
 
 
 def unpack(column: pa.Array) -> np.ndarray:
@@ -141,13 +146,14 @@ def linked(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataF
     return saved(wide.mapInArrow(run, f"a {kind}, b {kind}"), "linked_pairs")
 
 
-def crossing(members: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs of near members of a bucket that do not have the same ``root`` yet.
+def crossing(members: DataFrame, groups: DataFrame, percent: int, quota: int) -> DataFrame:
+    """(``a``, ``b``, ``more``): near members of a bucket that do not have the same ``root`` yet.
 
     ``members`` has ``key``, ``node`` and ``root``. Only members of different roots are compared: those
     of a bucket's largest root and the others are dealt into blocks, and each pair of blocks, one of
-    them of others, is a piece of work of its own, which compares signatures and hands on near pairs
-    only. So a large group that is connected already is not multiplied.
+    them of others, is a piece of work of its own. A pair of members counts in the first of its common buckets only,
+    and of each pair of roots the ``quota`` closest ones are handed on; ``more`` says that others were
+    held back. So neither a large group that is connected already nor two large ones that are near are multiplied.
     """
     roots = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     mixed = roots.groupBy("key").agg(
@@ -186,20 +192,35 @@ def crossing(members: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     def compare(rows: pa.Table):
         node, root, block, size = (rows.column(c).to_numpy() for c in ("node", "root", "block", "size"))
         is_main = rows.column("is_main").to_numpy()
-        i, j, after = (rows.column(c)[0].as_py() for c in ("i", "j", "main_blocks"))
-        marks = unpack(rows.column("signature"))
+        key, i, j, after = (rows.column(c)[0].as_py() for c in ("key", "i", "j", "main_blocks"))
+        marks, keys = unpack(rows.column("signature")), None
         left = np.flatnonzero(is_main if i < after else block == i - after)
         right = ~is_main & (block == j)
+        found: dict[tuple, list[tuple]] = {}
         for x in left:
             y = np.flatnonzero(right & (root != root[x]) & ((node > node[x]) if i - after == j else True))
             y = y[100 * np.minimum(size[y], size[x]) >= percent * np.maximum(size[y], size[x])]
-            y = y[(marks[y] != marks[x]).sum(axis=1) <= DISTANCE]
-            yield from zip(np.minimum(node[x], node[y]).tolist(), np.maximum(node[x], node[y]).tolist())
+            apart = (marks[y] != marks[x]).sum(axis=1)
+            y, apart = y[apart <= DISTANCE], apart[apart <= DISTANCE]
+            if not len(y):
+                continue
+            if keys is None:
+                keys = index_keys(marks)
+            common = keys[y] == keys[x]
+            here = keys[x][common.argmax(axis=1)] == key
+            for k, far in zip(y[here].tolist(), apart[here].tolist()):
+                both = (node[x].item(), node[k].item())
+                ends = (root[x].item(), root[k].item())
+                found.setdefault((min(ends), max(ends)), []).append((far, min(both), max(both)))
+        for pairs in found.values():
+            closest = sorted(pairs)[:quota]
+            for _, a, b in closest:
+                yield a, b, len(pairs) > quota
 
     def run(batches):
-        found: set[tuple] = set()  # a pair meets in many buckets
         held = None  # rows of a unit that may go on in the next batch
         for batch in chain(batches, [None]):
+            found: list[tuple] = []
             if batch is not None:
                 table = pa.Table.from_batches([batch])
                 held = table if held is None else pa.concat_tables([held, table]).combine_chunks()
@@ -209,14 +230,13 @@ def crossing(members: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
                 edges = [0, *cuts.tolist(), *([held.num_rows] if batch is None else [])]
                 for a, b in zip(edges, edges[1:]):
                     if b - a > 1:
-                        found.update(compare(held.slice(a, b - a)))
+                        found += compare(held.slice(a, b - a))
                 held = held.slice(edges[-1])
-            if found and (batch is None or len(found) > 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(side) for side in zip(*sorted(found))], ["a", "b"])
-                found.clear()
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(side) for side in zip(*found)], ["a", "b", "more"])
 
     kind = dict(groups.dtypes)["node"]
-    return ordered.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    return ordered.mapInArrow(run, f"a {kind}, b {kind}, more boolean")
 
 
 def mark_near_copies(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
@@ -229,9 +249,10 @@ def mark_near_copies(docs: DataFrame, *, width: int = 5, percent: int = 80) -> D
     can be reached over links, and the row with that id is ``kept``.
 
     Texts with the same set are one node from the start. Each node is paired with the lowest node of
-    each of its buckets, first the one met most often; what is connected by then need not be compared
+    each of its buckets whose size allows a link, first the one met most often; what is connected by then need not be compared
     again, so a large group of copies costs a few pairs for each of its members. Members of a
-    bucket that are still unconnected are compared in blocks.
+    bucket that are still unconnected are compared in blocks, in rounds: the closest pairs of any two components
+    are confirmed first, and the next ones only of those that are still apart.
 
     A null or empty text, or one of white space, has no shingles and is linked with nothing. A row
     without an id is its own component, with a null ``component_id``, and kept. Rows that repeat an id
@@ -252,10 +273,17 @@ def mark_near_copies(docs: DataFrame, *, width: int = 5, percent: int = 80) -> D
         "shingle_groups",
     )
     keys = keyed(groups)
-    buckets = keys.groupBy("key").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("members"))
-    members = saved(keys.join(saved(buckets.filter("members > 1"), "buckets"), "key"), "bucket_members")
+    buckets = keys.groupBy("key").agg(F.min(F.struct("node", "size")).alias("c"), F.count(F.lit(1)).alias("members"))
+    buckets = buckets.filter("members > 1").select(
+        "key", F.col("c.node").alias("center"), F.col("c.size").alias("center_size"), "members"
+    )
+    members = saved(keys.join(saved(buckets, "buckets"), "key"), "bucket_members")
+    fits = 100 * F.least("size", "center_size").cast("long") >= percent * F.greatest("size", "center_size").cast("long")
     stars = saved(
-        members.filter("node <> center").groupBy("node", "center").agg(F.count(F.lit(1)).alias("met")), "stars"
+        members.filter((F.col("node") != F.col("center")) & fits)
+        .groupBy("node", "center")
+        .agg(F.count(F.lit(1)).alias("met")),
+        "stars",
     )
     first = stars.groupBy(F.col("node").alias("b")).agg(F.max_by("center", F.struct("met", "center")).alias("a"))
     links = linked(near(first.select("a", "b"), groups, percent), docs, width, percent)
@@ -267,10 +295,13 @@ def mark_near_copies(docs: DataFrame, *, width: int = 5, percent: int = 80) -> D
         table = roots.select(F.col("node").alias(end), F.col("root").alias(name))
         return lookup(rows, table, [end], "inner", entries=entries)
 
+    checked = None
+
     def also(pairs: DataFrame) -> None:
         """Connect what the open pairs link."""
-        nonlocal links, roots
-        pairs, size = saved_rows(pairs, "open_pairs")
+        nonlocal links, roots, checked
+        pairs, size = saved_rows(pairs if checked is None else pairs.join(checked, ["a", "b"], "left_anti"), "open_pairs")
+        checked = pairs if checked is None else checked.union(pairs)
         if size:
             links = saved(links.union(linked(pairs, docs, width, percent)), "links")
             roots = saved(connected_components(nodes, links), "roots")
@@ -278,8 +309,14 @@ def mark_near_copies(docs: DataFrame, *, width: int = 5, percent: int = 80) -> D
     rest = with_root(with_root(stars, "node", "root"), "center", "center_root").filter("root <> center_root")
     also(near(rest.select(F.col("center").alias("a"), F.col("node").alias("b")), groups, percent))
     # All members are paired with the center; what is left are members in other components.
-    others = with_root(members.filter("members > 2 and node <> center").select("key", "node"), "node", "root")
-    also(crossing(saved(others, "others"), groups, percent))
+    inner = saved(members.filter("members > 2 and node <> center").select("key", "node"), "inner_members")
+    quota, held_back = QUOTA, 1
+    while held_back:
+        others = saved(with_root(inner, "node", "root"), "others")
+        pairs = saved(crossing(others, groups, percent, quota), "crossing_pairs")
+        held_back = pairs.filter("more").count()
+        also(pairs.select("a", "b").distinct())
+        quota *= QUOTA
 
     lowest = roots.groupBy("root").agg(F.min("node").alias("component_id"))
     found, entries = saved_rows(lookup(roots, lowest, ["root"]).select("node", "component_id"), "components_by_node")

@@ -61,11 +61,12 @@ def rates(cells: DataFrame, targets: dict) -> DataFrame:
     )
 
 
-def bounded_rates(cells: DataFrame, targets: dict, sample: float) -> DataFrame:
+def bounded_rates(cells: DataFrame, targets: dict, sample: float, rounds: int | None = None) -> DataFrame:
     """``rates`` for a sample of ``sample`` of all tokens, with ``rate`` itself as the probability.
 
     A value that has less than its share of the sample is wanted whole, and the others share the rest.
-    Cells at 1 stay whole while the others of their value are scaled up, until the rates settle.
+    Cells at 1 stay whole while the others of their value are scaled up, until the rates settle, or
+    for so many ``rounds``.
     """
     if not 0 < sample <= 1:
         raise ValueError("sample must be above 0 and at most 1")
@@ -96,7 +97,7 @@ def bounded_rates(cells: DataFrame, targets: dict, sample: float) -> DataFrame:
             goals = saved(goals.withColumn("goal", goal), "mix_goals")
         plan = plan.join(goals.select(name, F.col("goal").alias(f"goal_{name}")), name)
     plan = saved(plan.withColumn("last", F.col("rate")), "mix_cells")
-    for i in range(1, MOST_ROUNDS + 1):
+    for i in range(1, (rounds or MOST_ROUNDS) + 1):
         for name in targets:
             value, goal = Window.partitionBy(name), F.col(f"goal_{name}")
             full = F.sum(F.when(F.col("rate") >= 1, F.col("tokens")).otherwise(0)).over(value)
@@ -109,6 +110,8 @@ def bounded_rates(cells: DataFrame, targets: dict, sample: float) -> DataFrame:
             plan = plan.withColumn("rate", rate)
         if i % STRIDE == 0:
             plan = saved(plan, "mix_cells")
+            if rounds:
+                continue
             moved = plan.filter("tokens > 0").agg(F.max(F.abs(F.col("rate") - F.col("last")))).first()[0] or 0.0
             if moved <= SETTLED:
                 break
@@ -130,6 +133,7 @@ def rake(
     targets: dict,
     seed: str = "mix",
     sample: float | None = None,
+    rounds: int | None = None,
 ) -> DataFrame:
     """All rows of ``docs`` (``doc_id`` and what the columns below read), in a struct ``doc``, with
     the dimensions, ``n_tokens``, ``weight``, ``probability`` and ``kept``.
@@ -154,41 +158,55 @@ def rake(
         F.coalesce(tokens, F.lit(0)).cast("long").alias("n_tokens"),
     )
     cells = saved(rows.groupBy(*dimensions).agg(F.sum("n_tokens").alias("tokens")), "mix_totals")
-    found = rates(cells, targets) if sample is None else bounded_rates(cells, targets, sample)
+    found = rates(cells, targets) if sample is None else bounded_rates(cells, targets, sample, rounds)
     fitted, entries = saved_rows(found, "mix_rates")
     mixed = lookup(rows, fitted, list(dimensions), entries=entries)
     return mixed.withColumn("kept", draw(F.col("doc.doc_id"), seed) < F.col("probability"))
 
 
-def by_form(docs: DataFrame, sample: float | None = None) -> DataFrame:
-    """``rake`` by source, language and topic, as the registered query (whose SQL scales the largest
-    rate to 1) uses it without, and the pipeline with a sample size.
+def by_form(docs: DataFrame, sample: float | None = None, rounds: int | None = None) -> DataFrame:
+    """``rake`` by source, language and topic, as the registered query, whose SQL writes ``rounds`` out, and the
+    pipeline's mixing stage use it.
 
-    The tables have no topic: a document's form stands in for one. The shares of sources and
-    languages are drawn towards equal ones.
+    The tables have no topic: a document's form stands in for one. Nor have they token counts: ``n_tokens`` is a
+    quarter of the bytes. The shares of sources and languages are drawn towards equal ones.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     topic = F.when(text.rlike("[0-9]{4}"), "numbers").when(text.contains("\n"), "lines").otherwise("prose")
     dimensions = {"source": F.col("source"), "lang": F.col("lang"), "topic": topic}
     targets = {name: tempered(power) for name, power in POWERS.items()}
-    return rake(docs, dimensions, F.ceil(F.octet_length(text) / 4), targets, sample=sample)
+    return rake(docs, dimensions, F.ceil(F.octet_length(text) / 4), targets, sample=sample, rounds=rounds)
+
+
+#: Steps after which the goals of the query's few dimensions stand; each one makes another value whole.
+GOAL_STEPS = 8
 
 
 def oracle() -> str:
     """The registered query in SQL, with the rounds written out."""
-    steps, last = [], "start"
+    goals, steps, last = [], [], "start"
+    for name, power in POWERS.items():
+        goals.append(f"""g0_{name} AS (
+            SELECT {name}, sum(tokens) AS own, pow(sum(tokens), {power}) AS share, 0.0::DOUBLE AS goal FROM cells GROUP BY {name})""")
+        for i in range(GOAL_STEPS):
+            goals.append(f"""g{i + 1}_{name} AS (
+                SELECT {name}, own, share, CASE WHEN goal >= own THEN own ELSE least(share * scale, own) END AS goal
+                FROM g{i}_{name}, (SELECT greatest(size - coalesce(sum(own) FILTER (goal >= own), 0.0), 0.0)
+                    / coalesce(nullif(sum(share) FILTER (goal < own), 0.0), 1.0) AS scale
+                    FROM g{i}_{name}, sized GROUP BY size))""")
     for i in range(ROUNDS):
         for name in POWERS:
-            steps.append(f"""s{i}_{name} AS (
-                SELECT * EXCLUDE (rate), CASE WHEN sum(tokens * rate) OVER (PARTITION BY {name}) > 0
-                    THEN rate * (goal_{name} / sum(tokens * rate) OVER (PARTITION BY {name})) ELSE rate END AS rate
-                FROM {last})""")
+            steps.append(f"""f{i}_{name} AS (
+                SELECT *, sum(CASE WHEN rate >= 1 THEN tokens ELSE 0.0 END) OVER (PARTITION BY {name}) AS full_,
+                    sum(CASE WHEN rate < 1 THEN tokens * rate ELSE 0.0 END) OVER (PARTITION BY {name}) AS free_ FROM {last}
+            ), s{i}_{name} AS (
+                SELECT * EXCLUDE (rate, full_, free_), CASE
+                    WHEN full_ + free_ >= goal_{name} THEN rate * goal_{name} / greatest(full_ + free_, 1e-300)
+                    WHEN rate < 1 AND free_ > 0 THEN least(rate * (goal_{name} - full_) / free_, 1.0)
+                    ELSE rate END AS rate
+                FROM f{i}_{name})""")
             last = f"s{i}_{name}"
-    goals = ", ".join(
-        f"pow(sum(tokens) OVER (PARTITION BY {n}), {p}) * total / (SELECT sum(pow(t, {p})) FROM"
-        f" (SELECT sum(tokens) AS t FROM cells GROUP BY {n})) AS goal_{n}"
-        for n, p in POWERS.items()
-    )
+    joined = " ".join(f"JOIN (SELECT {n}, goal AS goal_{n} FROM g{GOAL_STEPS}_{n}) USING ({n})" for n in POWERS)
     return f"""
         WITH rows AS (
             SELECT doc_id, coalesce(source, '{NO_VALUE}') AS source, coalesce(lang, '{NO_VALUE}') AS lang,
@@ -198,12 +216,12 @@ def oracle() -> str:
             FROM documents
         ), cells AS (
             SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens FROM rows GROUP BY ALL
-        ), start AS (
-            SELECT *, 1.0::DOUBLE AS rate, {goals} FROM cells, (SELECT sum(tokens) AS total FROM cells)
+        ), sized AS (SELECT sum(tokens) * {SAMPLE}::DOUBLE AS size FROM cells
+        ), {", ".join(goals)}, start AS (
+            SELECT *, {SAMPLE}::DOUBLE AS rate FROM cells {joined}
         ), {", ".join(steps)}, rated AS (
-            SELECT source, lang, topic, round(rate, 6) AS weight,
-                CASE WHEN tokens > 0 THEN least(round(rate / (max(rate) FILTER (tokens > 0) OVER ()), 9), 1.0)
-                    ELSE 1.0 END AS probability
+            SELECT source, lang, topic, round(CASE WHEN tokens > 0 THEN rate ELSE 1.0 END, 6) AS weight,
+                round(CASE WHEN tokens > 0 THEN rate ELSE 1.0 END, 9) AS probability
             FROM {last}
         )
         SELECT doc_id, source, lang, topic, n_tokens, weight, probability,

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from recordflow.llm import kd_trees, multi_index
@@ -62,7 +63,8 @@ def test_components_of_documents_equal_brute_force(documents):
     assert components(documents) == brute_components(rows, 5, 80)
 
 
-def test_crossing_compares_all_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("quota", [1, 7, 1000])
+def test_crossing_compares_all_blocks(spark, monkeypatch, quota):
     monkeypatch.setattr(multi_index, "BLOCK", 4)
     rng = np.random.default_rng(1)
     marks = np.repeat(rng.integers(0, 65535, (1, 128), dtype=np.uint16), 20, axis=0)
@@ -70,11 +72,27 @@ def test_crossing_compares_all_blocks(spark, monkeypatch):
     groups = spark.createDataFrame(
         [(i, 10, bytearray(marks[i].tobytes())) for i in range(20)], "node long, size long, signature binary"
     )
+    # Both buckets hold all nodes; a pair counts in the first one that its own keys name.
+    keys = [int(multi_index.index_keys(marks[i : i + 1])[0, 0]) for i in (0, 10)]
     for root in (lambda i: i, lambda i: i // 4, lambda i: 0 if i > 6 else i + 1, lambda i: 0):
-        members = spark.createDataFrame([(1, i, root(i)) for i in range(20)], "key long, node long, root long")
-        pairs = {(r.a, r.b) for r in multi_index.crossing(members, groups, 80).collect()}
-        near = {(i, j) for i in range(20) for j in range(i + 1, 20) if (i < 10) == (j < 10)}
-        assert pairs == {(i, j) for i, j in near if root(i) != root(j)}
+        rows = [(key, i, root(i)) for i in range(20) for key in keys]
+        members = spark.createDataFrame(rows, "key long, node long, root long")
+        found = multi_index.crossing(members, groups, 80, quota).collect()
+        near = {(i, j) for i in range(20) for j in range(i + 1, 20) if (i < 10) == (j < 10) and root(i) != root(j)}
+        pairs = [(r.a, r.b) for r in found]
+        assert len(pairs) == len(set(pairs)) and set(pairs) <= near
+        assert set(pairs) == near or any(r.more for r in found)
+        # Of every two components that are near, some pair is handed on.
+        ends = {frozenset((root(i), root(j))) for i, j in pairs}
+        assert ends == {frozenset((root(i), root(j))) for i, j in near}
+
+
+def test_rounds_find_what_the_first_ones_hold_back(spark, monkeypatch):
+    monkeypatch.setattr(multi_index, "QUOTA", 2)
+    monkeypatch.setattr(multi_index, "BLOCK", 8)
+    rows = near_texts()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert components(df, width=2) == brute_components(rows, 2, 80)
 
 
 def test_every_pair_within_the_distance_shares_a_key():
