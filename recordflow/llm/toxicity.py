@@ -103,8 +103,23 @@ class Model:
 
 
 class Matcher:
+    """The trie behind a quick look at a few letters, which most words do not pass.
+
+    An edit of a term lies behind its first third or so, which the word then begins with, or before its second half,
+    which the word then has at its place or next to it.
+    """
+
     def __init__(self, terms: tuple[str, ...]):
         self.trie = Trie(list(terms))
+        self.heads: dict[int, set[str]] = {}
+        self.tails: dict[int, set[str]] = {}
+        for term in terms:
+            half = len(term) // 2
+            head = min(max(half - 1, 1), 3) if len(term) >= FUZZY_LENGTH else min(len(term), 3)
+            self.heads.setdefault(head, set()).add(term[:head])
+            if len(term) >= FUZZY_LENGTH:
+                for at in (half - 1, half, half + 1):
+                    self.tails.setdefault(at, set()).add(term[half : half + 2])
         self.seen: set[str] = set()
         self.found: dict[str, tuple[int, int]] = {}
         self.chars = 0
@@ -117,7 +132,7 @@ class Matcher:
         distinct = set(words)
         new = distinct - self.seen
         for word in new:
-            match = self.trie.match(word)
+            match = self.trie.match(word) if self.likely(word) else None
             if match:
                 self.found[word] = match
         self.seen |= new
@@ -142,6 +157,11 @@ class Matcher:
             self.clear()
         return out, len(words)
 
+    def likely(self, word: str) -> bool:
+        return any(word[:n] in heads for n, heads in self.heads.items()) or any(
+            word[at : at + 2] in tails for at, tails in self.tails.items()
+        )
+
     def clear(self) -> None:
         self.seen.clear()
         self.found.clear()

@@ -205,6 +205,27 @@ def test_the_automaton_equals_the_edit_distance():
         assert got == (want and (want[2], want[0])) or swap(word, terms), word
 
 
+def test_words_that_match_pass_the_quick_look():
+    rng = random.Random(8)
+    for _ in range(300):
+        terms = ["".join(rng.choice("abcd") for _ in range(rng.randint(2, 10))) for _ in range(3)]
+        matcher = toxicity.Matcher(tuple(terms))
+        for _ in range(40):
+            word = list(rng.choice(terms) + "".join(rng.choice("abcd") for _ in range(rng.randint(0, 3))))
+            at = rng.randrange(len(word))
+            edit = rng.choice(["none", "drop", "add", "change", "swap"])
+            if edit == "drop":
+                del word[at]
+            elif edit == "add":
+                word.insert(at, rng.choice("abcde"))
+            elif edit == "change":
+                word[at] = rng.choice("abcde")
+            elif edit == "swap" and at:
+                word[at - 1], word[at] = word[at], word[at - 1]
+            word = "".join(word)
+            assert matcher.likely(word) or matcher.trie.match(word) is None, (word, terms)
+
+
 def swap(word, terms):
     """Whether exchanging two neighbours makes a term, which also counts as one edit."""
     return any((word[:i] + word[i + 1] + word[i] + word[i + 2 :]).startswith(t) for i in range(len(word) - 1) for t in terms)
