@@ -368,6 +368,15 @@ ORACLES = {
         _hashed("dated", ["AccountType", "Stage", _flag("IsWon")], 8)} SELECT o_orderkey AS "Id",
         'example is ' || ({_counts(8)})::VARCHAR || ' prediction is ' || days AS line
         FROM hashed WHERE days IS NOT NULL""",
+    "csv_report": f"""WITH {OPPORTUNITY} SELECT 'Deal ' || o_orderkey AS "OpportunityName",
+        CASE WHEN o_custkey % 3 = 0 THEN 'State ' || (o_custkey % 20) END AS "BillingState/Province",
+        AccountType AS "AccountType", 'Owner ' || (o_custkey % 16) AS "AccountOwner",
+        'Product ' || (o_orderkey % 15) AS "ProductName", Amount AS "Amount", (o_orderkey % 1000000)::INT AS "Number",
+        c_name AS "AccountName", BillingCountry AS "BillingCountry", close_text AS "CloseDate", IsClosed AS "Closed",
+        strftime(created, '%Y-%m-%dT%H:%M:%S.%gZ') AS "CreatedDate", ForecastCategory AS "ForecastCategory",
+        Industry AS "Industry", 'Owner ' || (o_orderkey % 17) AS "OpportunityOwner",
+        OpportunitySource AS "OpportunitySource", OpportunityType AS "OpportunityType", OwnerRole AS "OwnerRole",
+        ProductFamily AS "ProductFamily", Segment AS "Segment", Stage AS "Stage", IsWon AS "Won" FROM dated""",
     "head_sample": f"""WITH {OPPORTUNITY} SELECT o_orderkey AS "Id", 'Deal ' || o_orderkey AS opportunity_name,
         Amount AS "Amount" FROM dated ORDER BY Amount, o_orderkey LIMIT 2""",
     "batch_infer": f"""WITH {OPPORTUNITY}, {_HASHED} SELECT Id AS "Id",

@@ -521,6 +521,13 @@ def prediction_text(spark, sf):
     return hashed.select("Id", S.prediction_text(F.col("x"), F.col("days")).alias("line"))
 
 
+def csv_report(spark, sf):
+    """The report written as CSV and read again with its declared types."""
+    path = scratch_path(spark, "report")
+    files.write_csv(views.report(spark, sf).drop("Id"), path)
+    return S.compact_names(B.read_report(spark, path)).withColumnRenamed("#", "Number")
+
+
 def head_sample(spark, sf):
     report = views.report(spark, sf).select("Id", "Opportunity Name", "Amount")
     return B.head_sample(report, ["Amount", "Id"], 2).withColumnRenamed("Opportunity Name", "opportunity_name")
@@ -590,7 +597,7 @@ QUERIES = {
         scan_range, scan_window, sql_scan, drop_columns, strip_text, rename_columns, row_id,
         record_to_json, restricted_fields, hash_features, zscore, scale_params, parse_dates,
         days_to_close, regression_features, anomaly_features, examples, split, result_rows,
-        prediction_text, head_sample, batch_infer, cluster_fit, cluster_tree, cluster_predict,
+        prediction_text, csv_report, head_sample, batch_infer, cluster_fit, cluster_tree, cluster_predict,
         encode_pca, score_anomalies, regress_score,
     )
 }

@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F, types as T
 
 from recordflow import schemas
@@ -8,7 +9,8 @@ from recordflow.__main__ import main
 from recordflow.config import TrainingParams
 from recordflow.ml import anomaly, regression, versions
 from recordflow.ml.inference import affine_encoder, batch_predictor, linear_model
-from recordflow.operators.features import anomaly_features, anomaly_report_features, hash_features
+from recordflow.ml.stages import vectors
+from recordflow.operators.features import ANOMALY_DROPS, clean_report, hash_features
 from recordflow.plans import jobs, queries, views
 
 
@@ -49,7 +51,9 @@ def test_anomaly_model_round_trip(spark, small, tmp_path, setting):
     records = views.scoring_records(spark, small).limit(300).cache()
     model = jobs.train_anomaly_model(records, str(tmp_path / "m"), **setting)
     loaded = anomaly.AnomalyModel.load(spark, str(tmp_path / "m"))
-    assert loaded.params_row() == model.params_row()
+    for one, two in zip(loaded.pipeline.stages, model.pipeline.stages):
+        assert (type(one), one.uid) == (type(two), two.uid)
+        assert {p.name: v for p, v in one.extractParamMap().items()} == {p.name: v for p, v in two.extractParamMap().items()}
     one = {r["Id"]: r["cluster"] for r in model.score(records).collect()}
     two = {r["Id"]: r["cluster"] for r in loaded.score(records).collect()}
     assert one == two and len(one) == 300 and None not in one.values()
@@ -62,12 +66,15 @@ def test_report_and_events_get_the_same_features(spark, small, tmp_path):
     params = TrainingParams.from_args([f"--reportPath={path}", f"--modelUri={tmp_path / 'models'}"])
     assert jobs.train_from_report(spark, params) == 1
     model = versions.LatestModel(spark, str(tmp_path / "models")).get()
-    assert model.strip and model.dims == 10 and model.members > 0
+    assert model.clean.getOrDefault("strip") and model.clusters.getOrDefault("dims") == 10
     records = views.scoring_records(spark, small)
-    by_event = anomaly_features(anomaly.cleaned(records, model.strip), 0.0, 1.0).select(F.col("Id").cast("long"), "x")
-    by_report = anomaly_report_features(views.report(spark, small), 0.0, 1.0).select("Id", F.col("x").alias("y"))
+    by_event = model.features(records).select(F.col("Id").cast("long"), vector_to_array("features").alias("x"))
+    report_rows = clean_report(views.report(spark, small), ANOMALY_DROPS, strip=False)
+    by_report = model.features(report_rows).select("Id", vector_to_array("features").alias("y"))
     both = by_event.join(by_report, "Id")
     assert both.count() == records.count() and both.filter("x <> y").count() == 0
+    whole = anomaly.AnomalyModel.load(spark, str(tmp_path / "models" / "models" / "version=1"))
+    assert whole.pipeline.transform(records).columns == ["Id", "cluster"]
     assert {r["cluster"] for r in model.score(records).collect()} > {-1}
 
 
@@ -98,7 +105,7 @@ def test_encoder_width(spark):
         [(str(i), [int(v) for v in r.integers(0, 3, 64)], float(r.normal())) for i in range(100)],
         "Id string, x array<int>, amount_z double",
     )
-    rows = anomaly.vectors(df)
+    rows = vectors(df)
     coded = anomaly.encode(anomaly.fit_encoder(rows), rows)
     assert len(coded.first()["coords"]) == 10 and coded.count() == 100
 
