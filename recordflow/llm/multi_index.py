@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from recordflow.llm.memory import giving_back
 from recordflow.llm.shingles import mix, shingle_set
 from recordflow.ml.components import connected_components
 from recordflow.operators.lookups import lookup, saved, saved_rows
@@ -59,7 +60,7 @@ def fingerprints(docs: DataFrame, width: int) -> DataFrame:
     """(``doc_id``, ``n_shingles``, ``digest``, ``signature``); the last two are null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
+        for batch in giving_back(batches):
             sizes, digests, signatures = [], [], []
             for text in batch.column(1):
                 shingles = shingle_set(text.as_py(), width)
@@ -81,7 +82,7 @@ def keyed(groups: DataFrame) -> DataFrame:
     """(``key``, ``node``, ``size``), SYMBOLS rows for each row of ``groups``."""
 
     def run(batches):
-        for batch in batches:
+        for batch in giving_back(batches):
             for a in range(0, batch.num_rows, 2000):
                 part = batch.slice(a, 2000)
                 keys = index_keys(unpack(part.column(2)))
@@ -123,7 +124,7 @@ def linked(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataF
     """The pairs whose full sets reach the similarity; texts are read again for their ids only."""
 
     def sets(batches):
-        for batch in batches:
+        for batch in giving_back(batches):
             values = [shingle_set(t.as_py(), width).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.binary())], ["node", "shingles"])
 

@@ -16,9 +16,9 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
+from recordflow.llm.memory import giving_back
 from recordflow.operators.lookups import lookup, saved
 
 #: Labelled documents per class that the model is fitted on, and terms of the lexicon, at most.
@@ -33,9 +33,8 @@ FUZZY_LENGTH = 5
 #: Words on either side that make up the context of a term.
 WINDOW = 8
 THRESHOLD = 0.3
-#: Characters of words whose match a worker remembers within a partition, and of texts that it scores in one step.
-WORD_CHARS = 1_000_000
-STEP_CHARS = 4_000_000
+#: Characters of words whose match a worker remembers within a partition.
+WORD_CHARS = 4_000_000
 
 WORD = re.compile(r"\w+")
 #: Opening marks and what closes them.
@@ -105,8 +104,8 @@ class Model:
 class Matcher:
     """The trie behind a quick look at a few letters, which most words do not pass.
 
-    An edit of a term lies behind its first third or so, which the word then begins with, or before its second half,
-    which the word then has at its place or next to it.
+    An edit of a term lies behind its first two or three letters, which the word then begins with, or within them; then
+    the word has the next three letters at their place or next to it. Exchanged first letters are put down as such.
     """
 
     def __init__(self, terms: tuple[str, ...]):
@@ -114,12 +113,14 @@ class Matcher:
         self.heads: dict[int, set[str]] = {}
         self.tails: dict[int, set[str]] = {}
         for term in terms:
-            half = len(term) // 2
-            head = min(max(half - 1, 1), 3) if len(term) >= FUZZY_LENGTH else min(len(term), 3)
+            fuzzy = len(term) >= FUZZY_LENGTH
+            head = (2 if len(term) == FUZZY_LENGTH else 3) if fuzzy else min(len(term), 3)
             self.heads.setdefault(head, set()).add(term[:head])
-            if len(term) >= FUZZY_LENGTH:
-                for at in (half - 1, half, half + 1):
-                    self.tails.setdefault(at, set()).add(term[half : half + 2])
+            for i in range(head if fuzzy else 0):  # two letters exchanged
+                swapped = term[:i] + term[i + 1] + term[i] + term[i + 2 :]
+                self.heads[head].add(swapped[:head])
+            for at in (head - 1, head, head + 1) if fuzzy else ():
+                self.tails.setdefault(at, set()).add(term[head : head + 3])
         self.seen: set[str] = set()
         self.found: dict[str, tuple[int, int]] = {}
         self.chars = 0
@@ -159,7 +160,7 @@ class Matcher:
 
     def likely(self, word: str) -> bool:
         return any(word[:n] in heads for n, heads in self.heads.items()) or any(
-            word[at : at + 2] in tails for at, tails in self.tails.items()
+            word[at : at + 3] in tails for at, tails in self.tails.items()
         )
 
     def clear(self) -> None:
@@ -231,7 +232,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         return Model([])
 
     def stems(batches):
-        for batch in batches:
+        for batch in giving_back(batches):
             for a in range(0, batch.num_rows, 100):
                 found, marks = [], []
                 part = batch.slice(a, 100)
@@ -309,7 +310,7 @@ def hits_of(sample: DataFrame, model: Model) -> list[tuple[int, list[tuple[int,
 
     def run(batches):
         matches = Matcher(terms)
-        for batch in batches:
+        for batch in giving_back(batches):
             found = [matches.hits(t.as_py()) for t in batch.column(0)]
             flat = [[t * 8 + e * 4 + q * 2 + near for t, e, q, near in hits] for hits, _ in found]
             yield pa.RecordBatch.from_arrays(
@@ -340,37 +341,21 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     terms = tuple(model.terms)
     weights = np.array(model.weights)
 
+    @F.arrow_udf("double")
+    def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        # Only the text comes here and only the score goes back; the rows stay with Spark.
+        matches = Matcher(terms)
+        for batch in giving_back(batches):
+            values = []
+            for text in batch:
+                x = features(model, *matches.hits(text.as_py()))
+                values.append(float(1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))))
+            yield pa.array(values, pa.float64())
+
     names = [f"c{i}" for i in range(len(docs.columns))]
     plain = docs.toDF(*names)
-    at = docs.columns.index("text")
-    if docs.dtypes[at][1] != "string":  # a column of its own only where the text is not one
-        plain = plain.withColumn("body", plain[names[at]].cast("string"))
-        at = len(names)
-
-    def run(batches):
-        matches = Matcher(terms)
-        for batch in batches:
-            for a, b in steps(pc.utf8_length(batch.column(at)).to_pylist()):
-                part = batch.slice(a, b - a)
-                values = []
-                for text in part.column(at):
-                    x = features(model, *matches.hits(text.as_py()))
-                    values.append(float(1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))))
-                columns = [*part.columns[: len(names)], pa.array(values, pa.float64())]
-                yield pa.RecordBatch.from_arrays(columns, [*names, "score"])
-
-    schema = T.StructType([*plain.schema.fields[: len(names)], T.StructField("score", T.DoubleType())])
-    return plain.mapInArrow(run, schema).toDF(*docs.columns, column)
-
-
-def steps(sizes: list[int | None]) -> Iterator[tuple[int, int]]:
-    """Cut a batch into runs of STEP_CHARS characters or one text."""
-    start = size = 0
-    for i, n in enumerate(sizes):
-        size += n or 0
-        if size >= STEP_CHARS or i + 1 == len(sizes):
-            yield start, i + 1
-            start, size = i + 1, 0
+    body = plain[names[docs.columns.index("text")]].cast("string")
+    return plain.select(*names, scores(body)).toDF(*docs.columns, column)
 
 
 def mark_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
