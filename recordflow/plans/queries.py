@@ -310,7 +310,7 @@ def stream_labels(spark, sf):
     folder, landed = scratch_path(spark, "models"), scratch_path(spark, "landed")
     events = views.messages(spark, views.table(spark, sf, "events"))
     parts = [events.filter(F.col("event_id") % 2 == n) for n in (0, 1)]
-    models = [anomaly.fit(records), anomaly.fit(records, min_cluster_size=25)]
+    models = [anomaly.fit(records), anomaly.fit(records, dims=2)]
     params = ScoringParams(
         object_name="Opportunity", reference_name=f"labels_{main}", login_url="none", push_topic="opportunities",
         output_table=main, dead_letter_table=dead, checkpoint_location=scratch_path(spark, "labels_position"),
