@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from recordflow.functions.dates import created_at, days_between, short_date
-from recordflow.functions.hashing import bucket, value_text
+from recordflow.functions.hashing import bucket, bucket_counts, value_text
 from recordflow.operators import features as FT
 
 
@@ -48,6 +48,22 @@ def test_counts_sum_to_the_number_of_columns(spark, n):
         assert r["x"] == want
 
 
+@pytest.mark.parametrize("fields", [15, 16, 256])
+def test_counts_of_equal_values_fit_their_counters(spark, fields):
+    df = spark.createDataFrame([(1,)], "Id int").select("Id", *[F.lit("USA").alias(f"c{i}") for i in range(fields)])
+    out = FT.hash_features(df, [f"c{i}" for i in range(fields)]).first()["x"]
+    assert out[20] == fields and sum(out) == fields
+
+
+def test_buckets_are_counted_once_per_row(spark):
+    """Every word of counters is filled in one pass over the buckets, not in one for each number unpacked."""
+    rows = spark.range(1).select(F.array(*[F.lit(i) for i in range(14)]).alias("b"))
+    text = rows.select(bucket_counts(F.col("b"), 64, 14).alias("x"))._jdf.queryExecution().analyzed().toString()
+    unpacking = text[text.index("sequence(0, 63") :]
+    assert "aggregate(" in text and "aggregate(" not in unpacking
+    assert rows.select(bucket_counts(F.col("b"), 64, 14).alias("x")).first()["x"] == [1] * 14 + [0] * 50
+
+
 def test_column_order_does_not_matter(spark):
     df = spark.createDataFrame([("p", "q", "r")], "a string, b string, c string")
     one = FT.hash_features(df, ["a", "b", "c"]).first()["x"]
