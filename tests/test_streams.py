@@ -259,3 +259,23 @@ def test_numbered_files(spark, tmp_path):
     missing = {n: ("missing", 0, 0) for n in (3, 4, 6, 7, 8, 9)}
     assert rows == {1: ("read", 2, 0), 2: ("corrupt", 2, 1), 5: ("read", 0, 0), 10: ("corrupt", 1, 1), **missing}
     assert batch.read_numbered(spark, str(tmp_path / "rec"), last=12)[1].count() == 12
+
+
+def test_a_ledger_left_by_an_earlier_catalog_is_taken_up(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE again LOCATION '{tmp_path / 'again'}'")
+    home, name = str(tmp_path / "again" / "stream_batches"), "again.stream_batches"
+    tables.create_table(spark, "again.first", DEAD_LETTER, streaming=True, ledger=name, ledger_location=home)
+    tables.BatchWriter(spark, ["again.first"], "feed").write(3, {}, DAY)
+    spark.sql(f"DROP TABLE {name}")  # the folder stays, as after a session whose catalog is lost
+    tables.create_table(spark, "again.second", DEAD_LETTER, streaming=True)
+    writer = tables.BatchWriter(spark, ["again.second"], "feed")
+    assert writer.is_committed(3) and not writer.is_committed(4)
+
+
+def test_query_streams_have_a_ledger_of_their_own(spark):
+    from recordflow.plans import queries
+
+    pairs = [queries._stream_tables(spark) for _ in range(2)]
+    ledgers = [{tables.ledger_of(spark, t) for t in pair} for pair in pairs]
+    assert all(len(found) == 1 for found in ledgers) and ledgers[0] != ledgers[1]
+    assert all(not tables.location_of(spark, found.pop()).endswith("stream_batches") for found in ledgers)
