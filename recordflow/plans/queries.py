@@ -197,7 +197,7 @@ def json_lines_scan(spark, sf):
 
 def conform_types(spark, sf):
     """Numbers out of their field's width, dates that do not exist, misfits inside arrays."""
-    orders = views.table(spark, sf, "orders")
+    orders = B.spread(views.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"))
     day = F.when(F.col("o_orderkey") % 7 == 0, "1995-02-30").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
     payload = F.to_variant_object(
         F.struct(

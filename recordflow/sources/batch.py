@@ -13,6 +13,8 @@ from recordflow.functions.variants import is_object
 from recordflow.schemas import EXAMPLE, REPORT
 
 MODIFIED = "LastModifiedDate"
+#: Rows that a task should get of a table whose rows are parsed, checked or hashed one by one.
+TASK_ROWS = 100_000
 
 
 def read_objects(
@@ -35,13 +37,18 @@ def read_objects(
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan out to all cores when most cores would get no split of it.
+    """Deal the rows of a scan out anew where its splits hold them unevenly or by the million.
 
-    One file with one row group is one task, however much work follows. A scan of enough splits
-    is returned as it is, without a shuffle.
+    A row group is read by one task, however many splits its file has and however much work follows, so the
+    rows of the splits are counted, without reading a column. A split with no more than twice its share, with
+    shares of TASK_ROWS at most, leaves the scan as it is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 4 <= cores else df
+    counts = df.select(F.spark_partition_id().alias("split")).groupBy("split").count()
+    total, most = counts.agg(F.sum("count"), F.max("count")).first()
+    if not total:
+        return df
+    pieces = max(df.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_ROWS))
+    return df.repartition(pieces) if most * pieces > 2 * total else df
 
 
 def as_payload(df: DataFrame) -> DataFrame:

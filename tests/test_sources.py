@@ -1,5 +1,8 @@
+import hashlib
 from datetime import datetime, timezone
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -88,3 +91,27 @@ def test_examples_round_trip(spark, tmp_path):
 def test_query_names_the_object(spark):
     df = spark.createDataFrame([("1", "n")], "Id string, Name string")
     assert B.query_objects(df, "Thing", "select Name from Thing").first()[0] == "n"
+
+
+def test_rows_of_one_row_group_are_dealt_out(spark, tmp_path, monkeypatch):
+    """The file has enough splits for all cores, but all rows in one row group."""
+    path = str(tmp_path / "rows.parquet")
+    wide = [{"id": i, "text": hashlib.sha512(str(i).encode()).hexdigest() * 8} for i in range(4000)]
+    pq.write_table(pa.Table.from_pylist(wide), path, row_group_size=4000, compression="none", use_dictionary=False)
+    monkeypatch.setattr(B, "TASK_ROWS", 300)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 200_000)
+    try:
+        scan = spark.read.parquet(path)
+        assert scan.rdd.getNumPartitions() > 8
+        dealt = B.spread(scan.select("id"))
+        sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sum(sizes) == 4000 and len(sizes) == 14 and max(sizes) <= 400
+
+
+def test_even_and_empty_scans_are_left_alone(spark, tmp_path):
+    even = spark.range(0, 1000, numPartitions=8)
+    assert B.spread(even) is even
+    none = spark.range(0)
+    assert B.spread(none) is none
