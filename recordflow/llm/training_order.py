@@ -133,7 +133,8 @@ def write(
         yield packer.add([], [], last=True)
 
     def count(batches):
-        n = sum(map(len, records(batches)))
+        encode = library(tokenizer, pattern).encode_ordinary
+        n = -(-sum(len(encode(t)) + 1 for _, texts in blocks(batches, BLOCK_CHARS) for t in texts) // length)
         part = TaskContext.get().partitionId()
         yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "n": pa.array([n], pa.int64())})
 
