@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from datetime import datetime, timezone
 
+from pyspark import TaskContext
 from pyspark.errors import PySparkException
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -356,7 +358,7 @@ def write_back(spark, sf):
     dead = _new_table(spark, "unsent", schemas.DEAD_LETTER)
 
     def receiver(breaks: bool):
-        taken = []
+        taken, book = [], f"{root}/taken/{uuid.uuid4().hex}"
 
         def send(record: str) -> None:
             if '7","Segment' in record:
@@ -364,7 +366,7 @@ def write_back(spark, sf):
             if breaks and len(taken) == 20:
                 raise _TaskLost
             taken.append(record)
-            with system.open_output_stream(f"{root}/taken/{uuid.uuid4().hex}") as out:
+            with system.open_append_stream(f"{book}-{os.getpid()}-{TaskContext.get().taskAttemptId()}") as out:
                 out.write(record.encode() + b"\n")
 
         return send

@@ -2,6 +2,7 @@
 
 import json
 from datetime import date, datetime, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from recordflow.config import ScoringParams, StreamIngestParams
 from recordflow.ml import versions
 from recordflow.plans import jobs
 from recordflow.schemas import ANOMALY_TARGET, DEAD_LETTER, STREAM_TARGET
+from recordflow.session import scratch_path
 from recordflow.sinks import delivery, tables
 from recordflow.sources import batch, replay
 
@@ -279,3 +281,26 @@ def test_query_streams_have_a_ledger_of_their_own(spark):
     ledgers = [{tables.ledger_of(spark, t) for t in pair} for pair in pairs]
     assert all(len(found) == 1 for found in ledgers) and ledgers[0] != ledgers[1]
     assert all(not tables.location_of(spark, found.pop()).endswith("stream_batches") for found in ledgers)
+
+
+def test_rows_of_one_split_of_a_batch_are_dealt_out(spark, stream, monkeypatch):
+    params = stream()
+    writer = jobs.batch_writer(spark, params, params.checkpoint_location)
+    lines = [event(i) for i in range(400)] + ["broken"]
+    monkeypatch.setattr(batch, "TASK_ROWS", 100)
+    rows = spark.createDataFrame([(v,) for v in lines], "value string").coalesce(1)
+    jobs.write_ingest_batch(rows, 0, params, writer, DAY)
+    files = [f for f in spark.table(params.output_table).inputFiles() if f.endswith(".parquet")]
+    assert len(files) > 1 and written(spark, params) == (list(range(400)), 1)
+
+
+def test_the_receiver_of_write_back_keeps_few_files(spark, small, monkeypatch):
+    from recordflow.plans import queries
+
+    folders = []
+    monkeypatch.setattr(queries, "scratch_path", lambda s, label: folders.append(scratch_path(s, label)) or folders[-1])
+    rows = queries.write_back(spark, small).cache()
+    assert rows.filter("times <> 1 and error_message is null").isEmpty()
+    folder = next(f for f in folders if "/write_back-" in f)
+    taken = list(Path(folder.removeprefix("file:")).glob("taken/*"))
+    assert 1 <= len(taken) <= 8 < rows.count()
