@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import zlib
 from functools import lru_cache
 from itertools import accumulate
 
@@ -20,10 +21,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recordflow.llm.merge_replay import blocks
 from recordflow.llm.shingles import mix
+from recordflow.operators.lookups import saved
 
 ROUNDS = 6
 #: Characters of text that are packed at a time.
 BLOCK_CHARS = 4_000_000
+#: Sequences that are kept in one piece between packing and placing.
+KEPT = 1024
 #: A record: id of the first document, number of documents, number of tokens (big-endian), then the
 #: tokens (16 bits, little-endian), then a line feed as a guard.
 HEADER = np.dtype([("doc", ">i8"), ("docs", ">i4"), ("tokens", ">i4")])
@@ -116,10 +120,9 @@ def write(
     with ``stop``. Shard s is the folder ``shard=s`` with one file, which has slots s * per_shard and
     on, in order.
 
-    The first pass only counts each partition's sequences, one number of which comes to the driver,
-    and the second one tokenises again and writes: keeping the tokens in between takes as much disk
-    as the shards. Both need the same partitions, as a table of files gives them; a partition that
-    changes between the passes ends the job. A task that is lost is repeated with the same slots.
+    Texts are tokenised once: the sequences of each partition are kept, compressed, with their numbers within it
+    until the number of all sequences is known, of which one number for each partition comes to the driver. A
+    task that is lost is repeated with the same slots.
 
     A null or empty text is one ``stop``. A null id is written as -1. Rows that repeat are written
     each. An empty table writes a folder without shards and returns 0. Other columns are not looked at.
@@ -132,36 +135,39 @@ def write(
             yield packer.add(doc_ids, map(encode, texts))
         yield packer.add([], [], last=True)
 
-    def count(batches):
-        encode = library(tokenizer, pattern).encode_ordinary
-        n = -(-sum(len(encode(t)) + 1 for _, texts in blocks(batches, BLOCK_CHARS) for t in texts) // length)
-        part = TaskContext.get().partitionId()
-        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "n": pa.array([n], pa.int64())})
-
-    counts = sorted(map(tuple, source.mapInArrow(count, "part int, n long").collect()))
+    def pack(batches):
+        part, at = TaskContext.get().partitionId(), 0
+        for rows in records(batches):
+            for a in range(0, len(rows), KEPT):
+                some = rows[a : a + KEPT]
+                kept = zlib.compress(some.tobytes(), 1)
+                columns = [pa.array([part], pa.int32()), pa.array([at]), pa.array([len(some)]), pa.array([kept], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["part", "at", "n", "records"])
+                at += len(some)
+
+    packed = saved(source.mapInArrow(pack, "part int, at long, n long, records binary"), "sequences")
+    counts = sorted(map(tuple, packed.groupBy("part").agg(F.sum("n")).collect()))
     ends = list(accumulate(n for _, n in counts))
     total = ends[-1] if ends else 0
-    starts = {part: (end - n, end) for (part, n), end in zip(counts, ends)}
+    starts = {part: end - n for (part, n), end in zip(counts, ends)}
+    size = stride(length)
 
     def place(batches):
         order = Permutation(total, key)
-        at, end = starts.get(TaskContext.get().partitionId(), (0, 0))
-        for rows in records(batches):
-            for a in range(0, len(rows), 4096):
-                part = rows[a : a + 4096]
-                slots = order.slots(np.arange(at, at + len(part)))
-                at += len(part)
-                body = [r.tobytes()[:-GUARD] for r in part]  # the writer ends each line with the guard
+        for batch in batches:
+            for part, at, n, kept in zip(*batch.columns):
+                first, n = starts[part.as_py()] + at.as_py(), n.as_py()
+                slots = order.slots(np.arange(first, first + n))
+                rows = zlib.decompress(kept.as_buffer())
+                body = [rows[a : a + size - GUARD] for a in range(0, n * size, size)]  # the writer ends each line with the guard
                 yield pa.RecordBatch.from_arrays(
                     [pa.array((slots // per_shard).astype(np.int32)), pa.array(slots), pa.array(body, pa.binary())],
                     ["shard", "slot", "record"],
                 )
-        if at != end:
-            raise RuntimeError("the table's partitions changed between counting and writing")
 
     shards = max(-(-total // per_shard), 1)
     (
-        source.mapInArrow(place, "shard int, slot long, record binary")
+        packed.mapInArrow(place, "shard int, slot long, record binary")
         .repartitionById(shards, "shard")
         .sortWithinPartitions("shard", "slot")
         .select("shard", F.col("record").cast("string").alias("record"))
