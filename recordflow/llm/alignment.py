@@ -2,8 +2,8 @@
 
 A text's bytes are cut wherever tokens of both tokenizers end, and the tokens of a group between two
 cuts are linked. The distinct id pairs get a minimal perfect hash, sharded by the first id; tasks add
-up dense vectors of document counts indexed by it, which are summed as a tree; and a second pass aligns the texts
-again and looks the counts up.
+up dense vectors of document counts indexed by it, which are summed as a tree; and a second pass looks the counts
+up for the alignments, which the first one has kept.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import hashlib
 import os
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from recordflow.llm.digest_cache import splits_at_words
+from recordflow.llm.memory import giving_back
 from recordflow.llm.shingles import mix
 from recordflow.operators.lookups import saved, saved_rows
 
@@ -30,8 +31,8 @@ SHARD_PAIRS = 1 << 20
 #: Up to so many pairs (17 bytes each) the table goes to all tasks; beyond it, the texts' pairs go to the shards.
 BROADCAST_PAIRS = 2_000_000
 #: Characters of aligned chunks that a worker holds, and of texts that are aligned in one step.
-CHUNK_CHARS = 6_000_000
-STEP_CHARS = 2_000_000
+CHUNK_CHARS = 2_000_000
+STEP_CHARS = 1_000_000
 #: Slots of a level of the hash for each key that is left.
 SPARE = 1.5
 
@@ -41,8 +42,6 @@ CUT = re.compile(rf"(?<=[^ {SPACE_MARK}]) (?=\w)")
 #: Chunks that such a space can stand on both sides of; TOGETHER of them are encoded at once.
 INNER = re.compile(rf"\w[^{SPACE_MARK}]*(?<! )", re.DOTALL)
 TOGETHER = 2000
-#: Documents whose pairs are counted in one step.
-DOCUMENTS = 100
 SEEDS = mix(np.arange(1, 129, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -191,31 +190,61 @@ def groups_of(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.nd
     return cuts, np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
 
 
+def between(total: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The sums of successive runs, from the running sums of all and the ends of the runs."""
+    return np.diff(np.concatenate([np.zeros((1, *total.shape[1:]), total.dtype), total])[np.concatenate([[0], ends])], axis=0)
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The numbers of all ranges, one after another."""
     before = np.cumsum(lengths) - lengths
     return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))
 
 
+class Links:
+    """The links of some texts: how many chunks each text has, the chunk at each place of the texts, how many links each
+    chunk has, and the links of one chunk after another, as places in a list of pairs."""
+
+    def __init__(self, texts: np.ndarray, places: np.ndarray, chunks: np.ndarray, pairs: np.ndarray):
+        self.texts, self.places, self.chunks, self.pairs = texts, places, chunks, pairs
+
+    def parts(self) -> list[bytes]:
+        return [x.astype("<i4").tobytes() for x in (self.texts, self.places, self.chunks, self.pairs)]
+
+    @classmethod
+    def of(cls, *parts) -> Links:
+        return cls(*[np.frombuffer(p, "<i4").astype(np.int64) for p in parts])
+
+    def pairs_of_texts(self) -> tuple[np.ndarray, np.ndarray]:
+        """How many links each text has, and the pairs of all of them, text by text."""
+        length = self.chunks[self.places]
+        starts = np.cumsum(self.chunks) - self.chunks
+        return between(np.cumsum(length), np.cumsum(self.texts)), self.pairs[ranges(starts[self.places], length)]
+
+    def owners(self) -> np.ndarray:
+        """The text of each of these pairs."""
+        return np.repeat(np.arange(len(self.texts)), self.pairs_of_texts()[0])
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """For each text the sum over its links of the pairs' values."""
+        of_chunks = between(np.cumsum(values[self.pairs], dtype=np.int64), np.cumsum(self.chunks))
+        return between(np.cumsum(of_chunks[self.places]), np.cumsum(self.texts))
+
+
 class Aligner:
-    """Aligned chunks of one worker, and their sums under a table of pair counts."""
-
-    def __init__(
-        self,
-        tokens: Tokens,
-        look_up: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]] | None = None,
-        *,
-        written: bool = True,
-    ):
-        self.tokens, self.look_up, self.written = tokens, look_up, written
+    """Aligned chunks of one worker."""
+
+    def __init__(self, tokens: Tokens):
+        self.tokens = tokens
         self.clear()
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
         self.text: list[str] = []
         self.keys = np.zeros(0, np.uint64)
-        #: For each chunk whether its bytes come back, tokens of A and B, groups, links, best links, sum of counts.
-        self.sums = np.zeros((0, 7), np.int64)
+        self.starts = np.zeros(1, np.int64)
+        #: For each chunk whether its bytes come back, tokens of A and B, groups, links.
+        self.sums = np.zeros((0, 5), np.int64)
         self.chars = 0
 
     def learn(self, chunks: list[str]) -> None:
@@ -240,23 +269,16 @@ class Aligner:
         last_a = np.cumsum(n_a)
         last = np.searchsorted(begin_a, last_a)  # groups up to and with each chunk
         links = place[last_a]
-        sums = np.zeros((len(new), 7), np.int64)
+        sums = np.zeros((len(new), 5), np.int64)
         sums[:, 0], sums[:, 1], sums[:, 2] = n_a > 0, n_a, n_b
         sums[:, 3], sums[:, 4] = np.diff(last, prepend=0), np.diff(links, prepend=0)
-        if self.look_up is not None:
-            counts, best = self.look_up(keys)
-            for column, values in ((5, best), (6, counts)):
-                total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
-                sums[:, column] = np.diff(total[links], prepend=0)
-        else:
-            self.keys = np.concatenate([self.keys, keys])
-            self.starts = np.concatenate([[0], np.cumsum(np.concatenate([self.sums[:, 4], sums[:, 4]]))])
-        if self.written:
-            ids_a, ids_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
-            spans = zip(begin_a.tolist(), count_a.tolist(), begin_b.tolist(), count_b.tolist())
-            groups = [f"{','.join(ids_a[x : x + m])}|{','.join(ids_b[y : y + n])}" for x, m, y, n in spans]
-            ends = last.tolist()
-            self.text += [";".join(groups[x:y]) for x, y in zip([0, *ends], ends)]
+        self.keys = np.concatenate([self.keys, keys])
+        self.starts = np.concatenate([[0], np.cumsum(np.concatenate([self.sums[:, 4], sums[:, 4]]))])
+        ids_a, ids_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
+        spans = zip(begin_a.tolist(), count_a.tolist(), begin_b.tolist(), count_b.tolist())
+        groups = [f"{','.join(ids_a[x : x + m])}|{','.join(ids_b[y : y + n])}" for x, m, y, n in spans]
+        ends = last.tolist()
+        self.text += [";".join(groups[x:y]) for x, y in zip([0, *ends], ends)]
         self.sums = np.concatenate([self.sums, sums])
         self.chars += sum(map(len, new))
 
@@ -267,39 +289,21 @@ class Aligner:
         self.learn(flat)
         places = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
         ends = np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut)))
-        total = np.concatenate([np.zeros((1, 7), np.int64), np.cumsum(self.sums[places], axis=0)])
-        sums = np.diff(total[np.concatenate([[0], ends])], axis=0)
+        sums = between(np.cumsum(self.sums[places], axis=0), ends)
         begin = np.concatenate([[0], ends[:-1]])
         whole = (sums[:, 0] == ends - begin) & (ends > begin)
         sums[~whole] = 0
         return sums, [places[x:y] if ok else places[:0] for x, y, ok in zip(begin.tolist(), ends.tolist(), whole.tolist())]
 
-    def linked(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct pairs of a document, and how often each is linked in it."""
-        if not len(places):
-            return np.empty(0, np.uint64), np.empty(0, np.int64)
-        return np.unique(self.keys[ranges(self.starts[places], self.sums[places, 4])], return_counts=True)
-
-    def counted(self, documents: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct pairs of some documents, and how many of them link each."""
-        found, times = [], []
-        for a in range(0, len(documents), DOCUMENTS):
-            part = documents[a : a + DOCUMENTS]
-            places = np.concatenate(part)
-            if not len(places):
-                continue
-            length = self.sums[places, 4]
-            owner = np.repeat(np.repeat(np.arange(len(part)), [len(p) for p in part]), length)
-            keys = self.keys[ranges(self.starts[places], length)]
-            distinct, place = np.unique(keys, return_inverse=True)
-            # The pairs of a document are distinct, those of several are not.
-            once = np.unique(place * len(part) + owner) // len(part)
-            found.append(distinct)
-            times.append(np.bincount(once, minlength=len(distinct)))
-        if not found:
-            return np.empty(0, np.uint64), np.empty(0, np.int64)
-        keys, place = np.unique(np.concatenate(found), return_inverse=True)
-        return keys, np.bincount(place, np.concatenate(times), len(keys)).astype(np.int64)
+    def linked(self, documents: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, Links]:
+        """The distinct pairs of some documents, how many of them link each, and the links as places among the pairs."""
+        places = np.concatenate([*documents, np.empty(0, np.int64)])
+        used, places = np.unique(places, return_inverse=True)
+        chunks = self.sums[used, 4]
+        keys, pairs = np.unique(self.keys[ranges(self.starts[used], chunks)], return_inverse=True)
+        found = Links(np.fromiter(map(len, documents), np.int64, len(documents)), places, chunks, pairs)
+        once = np.unique(found.pairs_of_texts()[1] * len(documents) + found.owners())
+        return keys, np.bincount(once // max(len(documents), 1), minlength=len(keys)), found
 
     def digest(self, places: np.ndarray) -> str:
         if not len(places):
@@ -458,8 +462,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, *, broadcast_pairs: int = B
     nothing whole is: the pairs of the texts are sent to the shards of the table, a third of a
     shard's work at most lying in one task, and their sums come back.
     """
-    spark = docs.sparkSession
-    blocks = saved(linked_blocks(docs.select(F.col("text").cast("string")), path_a, path_b), "linked")
+    blocks = saved(aligned_blocks(docs, path_a, path_b), "linked")
 
     def distinct_pairs(batches):
         for batch in batches:
@@ -476,24 +479,42 @@ def align(docs: DataFrame, path_a: str, path_b: str, *, broadcast_pairs: int = B
         vectors = counted_at_shards(blocks, index, width, shards)
     table = saved(with_best(index, tree_sum(vectors), width), "link_counts")
     if n_pairs <= broadcast_pairs:
-        return looked_up_at_texts(spark, docs, table, path_a, path_b, width)
-    return looked_up_at_shards(docs, table, path_a, path_b, width, shards)
+        return looked_up_at_blocks(blocks, table, width)
+    return looked_up_at_shards(blocks, table, width, shards)
 
 
-def linked_blocks(texts: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """(``some``, ``times``): the distinct pairs of a step of texts, and how many of its texts link each."""
+def aligned_blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    """One row per step of texts: their ``doc_id``, ``sums`` (COLUMNS but the last two) and ``digests``, their distinct
+    pairs (``some``), how many of them link each (``times``), and the parts of their Links."""
 
     def run(batches):
-        aligner = Aligner(tokens_of(path_a, path_b), written=False)
-        for batch in batches:
-            bodies = batch.column(0).to_pylist()
+        aligner = Aligner(tokens_of(path_a, path_b))
+        for batch in giving_back(batches):
+            bodies = batch.column(1).to_pylist()
             for a, b in steps(bodies):
-                keys, times = aligner.counted(aligner.documents(bodies[a:b])[1])
-                if len(keys):
-                    columns = [pa.array([keys.tobytes()], pa.binary()), pa.array([times.astype("<i4").tobytes()], pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, ["some", "times"])
+                sums, documents = aligner.documents(bodies[a:b])
+                keys, times, links = aligner.linked(documents)
+                packed = [sums[:, 1:].astype("<i8").tobytes(), keys.tobytes(), times.astype("<i4").tobytes(), *links.parts()]
+                ids = pa.ListArray.from_arrays([0, b - a], batch.column(0).slice(a, b - a))
+                digests = pa.array([list(map(aligner.digest, documents))], pa.list_(pa.string()))
+                yield pa.RecordBatch.from_arrays(
+                    [ids, digests, *[pa.array([p], pa.binary()) for p in packed]],
+                    ["doc_id", "digests", "sums", "some", "times", *LINKS],
+                )
+
+    columns = ", ".join(f"{c} binary" for c in ("sums", "some", "times", *LINKS))
+    schema = f"doc_id array<{dict(docs.dtypes)['doc_id']}>, digests array<string>, {columns}"
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, schema)
+
 
-    return texts.mapInArrow(run, "some binary, times binary")
+def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[pa.Array], np.ndarray, Links]]:
+    """For each row of aligned blocks the columns of the result that are known, the distinct pairs and the links."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            held = {name: batch.column(c)[i] for c, name in enumerate(batch.schema.names)}
+            sums = np.frombuffer(held["sums"].as_buffer(), "<i8").reshape(-1, len(COLUMNS) - 2)
+            known = [held["doc_id"].values, *[pa.array(sums[:, c]) for c in range(sums.shape[1])], held["digests"].values]
+            yield known, np.frombuffer(held["some"].as_buffer(), np.uint64), Links.of(*[held[c].as_buffer() for c in LINKS])
 
 
 def collected(table: DataFrame) -> list[dict]:
@@ -523,7 +544,7 @@ def counted_at_blocks(blocks: DataFrame, index: DataFrame, width: int) -> DataFr
             if vector.any():
                 yield vector_row(s, branch, vector)
 
-    return blocks.mapInArrow(count, VECTORS)
+    return blocks.select("some", "times").mapInArrow(count, VECTORS)
 
 
 VECTORS = "shard int, branch int, vector binary"
@@ -561,6 +582,8 @@ def counted_at_shards(blocks: DataFrame, index: DataFrame, width: int, shards: i
             for keys, times in pairs_of(batch):
                 shard = shard_of(keys, width, shards)
                 out = []
+                if not len(keys):
+                    continue
                 for s in np.unique(shard).tolist():
                     part = shard == s
                     out.append((s, zlib.crc32(keys[part].tobytes()) % n, keys[part].tobytes(), times[part].tobytes()))
@@ -569,7 +592,7 @@ def counted_at_shards(blocks: DataFrame, index: DataFrame, width: int, shards: i
                     [pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["shard", "branch", "some", "times"]
                 )
 
-    rows = blocks.mapInArrow(ship, "shard int, branch int, some binary, times binary")
+    rows = blocks.select("some", "times").mapInArrow(ship, "shard int, branch int, some binary, times binary")
 
     def count(batches):
         current = found = vector = None
@@ -606,61 +629,52 @@ def with_best(index: DataFrame, sums: DataFrame, width: int) -> DataFrame:
 
 
 COLUMNS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+LINKS = ["texts", "places", "chunks", "pairs"]
+
+
+def id_type(blocks: DataFrame) -> str:
+    return blocks.schema["doc_id"].dataType.elementType.simpleString()
 
 
-def looked_up_at_texts(spark, docs: DataFrame, table: DataFrame, path_a: str, path_b: str, width: int) -> DataFrame:
-    sent = spark.sparkContext.broadcast(collected(table))
-    kind = dict(docs.dtypes)["doc_id"]
+def looked_up_at_blocks(blocks: DataFrame, table: DataFrame, width: int) -> DataFrame:
+    sent = blocks.sparkSession.sparkContext.broadcast(collected(table))
 
     def run(batches):
-        aligner = Aligner(tokens_of(path_a, path_b), Shards(sent.value, width).look_up)
-        for batch in batches:
-            bodies = batch.column(1).to_pylist()
-            for a, b in steps(bodies):
-                sums, documents = aligner.documents(bodies[a:b])
-                digests = pa.array(map(aligner.digest, documents), pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), *[pa.array(sums[:, i]) for i in range(1, 7)], digests],
-                    ["doc_id", *COLUMNS, "groups_sha256"],
-                )
+        shards = Shards(sent.value, width)
+        for (ids, *sums, digests), keys, links in blocks_of(batches):
+            counts, best = shards.look_up(keys)
+            sums += [pa.array(links.sums(values)) for values in (best, counts)]
+            yield pa.RecordBatch.from_arrays([ids, *sums, digests], ["doc_id", *COLUMNS, "groups_sha256"])
 
     counts = ", ".join(f"{c} long" for c in COLUMNS)
-    schema = f"doc_id {kind}, {counts}, groups_sha256 string"
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, schema)
+    return blocks.drop("times").mapInArrow(run, f"doc_id {id_type(blocks)}, {counts}, groups_sha256 string")
 
 
-def looked_up_at_shards(docs: DataFrame, table: DataFrame, path_a: str, path_b: str, width: int, shards: int) -> DataFrame:
-    n = branches(docs, shards)
-    kind = dict(docs.dtypes)["doc_id"]
+def looked_up_at_shards(blocks: DataFrame, table: DataFrame, width: int, shards: int) -> DataFrame:
+    n = branches(blocks, shards)
 
     def run(batches):
-        aligner = Aligner(tokens_of(path_a, path_b))
-        for batch in batches:
-            bodies = batch.column(2).to_pylist()
-            for a, b in steps(bodies):
-                parts = []
-                sums, documents = aligner.documents(bodies[a:b])
-                for places in documents:
-                    keys, times = aligner.linked(places)
-                    shard = shard_of(keys, width, shards)
-                    parts.append([
-                        {"shard": s, "some": keys[shard == s].tobytes(), "times": times[shard == s].tobytes()}
-                        for s in np.unique(shard).tolist()
-                    ])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *[batch.column(i).slice(a, b - a) for i in (0, 1)],
-                        *[pa.array(sums[:, i]) for i in range(1, 5)],
-                        pa.array(map(aligner.digest, documents), pa.string()),
-                        pa.array(parts, pa.list_(pa.struct([("shard", pa.int32()), ("some", pa.binary()), ("times", pa.binary())]))),
-                    ],
-                    ["place", "doc_id", *COLUMNS[:4], "groups_sha256", "parts"],
-                )
+        for (ids, *sums, digests), keys, links in blocks_of(batches):
+            length, flat = links.pairs_of_texts()
+            shard_of_pair = shard_of(keys, width, shards)
+            parts = []
+            for end, own in zip(np.cumsum(length).tolist(), length.tolist()):
+                found, times = np.unique(flat[end - own : end], return_counts=True)
+                shard = shard_of_pair[found]
+                parts.append([
+                    {"shard": s, "some": keys[found[shard == s]].tobytes(), "times": times[shard == s].tobytes()}
+                    for s in np.unique(shard).tolist()
+                ])
+            kind = pa.list_(pa.struct([("shard", pa.int32()), ("some", pa.binary()), ("times", pa.binary())]))
+            yield pa.RecordBatch.from_arrays(
+                [ids, *sums, digests, pa.array(parts, kind)], ["doc_id", *COLUMNS[:4], "groups_sha256", "parts"]
+            )
 
     counts = ", ".join(f"{c} long" for c in COLUMNS[:4])
-    schema = f"place long, doc_id {kind}, {counts}, groups_sha256 string, parts array<struct<shard: int, some: binary, times: binary>>"
-    numbered = docs.select(F.monotonically_increasing_id().alias("place"), "doc_id", F.col("text").cast("string"))
-    aligned = saved(numbered.mapInArrow(run, schema), "aligned")
+    parts = "array<struct<shard: int, some: binary, times: binary>>"
+    schema = f"doc_id {id_type(blocks)}, {counts}, groups_sha256 string, parts {parts}"
+    texts = blocks.drop("times").mapInArrow(run, schema)
+    aligned = saved(texts.withColumn("place", F.monotonically_increasing_id()), "aligned")
     rows = aligned.select("place", F.explode("parts").alias("p")).select(
         "p.shard", F.pmod(F.xxhash64("place"), F.lit(n)).cast("int").alias("branch"), "place", "p.some", "p.times"
     )
